@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
+import types
+from collections.abc import Callable
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,3 +59,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """``df`` written once to the shared checkpoint folder and read from there."""
     checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def worker_memory(name: str, make: Callable[[], Any]) -> Any:
+    """What ``make`` returns, made once a Python worker and kept for its later tasks.
+
+    It lives in a module of its own rather than in one of this package, whose
+    functions and globals travel with every task.
+    """
+    place = sys.modules.setdefault("criba_worker_memory", types.ModuleType("criba_worker_memory"))
+    if not hasattr(place, name):
+        setattr(place, name, make())
+    return getattr(place, name)
