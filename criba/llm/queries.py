@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from criba.llm import bpe, forest, packing, quantiles
+from criba.llm import bpe, forest, listings, packing, quantiles
 from criba.session import read_table
 
 
@@ -17,6 +18,24 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("producto_key", "ndf_id")
 
 
+def _products(spark: SparkSession, folder: str) -> DataFrame:
+    sold, known = read_table(spark, folder, "dim_producto"), read_table(spark, folder, "dim_ndf")
+    return listings.products(
+        sold.select(F.col("producto_key").alias("clave"), F.coalesce("descripcion", "producto").alias("texto")),
+        known.select(F.col("ndf_id").alias("clave"), F.concat_ws(" ", "producto", "presentacion").alias("texto"), F.col("producto").alias("marca"), "laboratorio"),
+    )
+
+
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    """All pairs of listings and catalogue entries of the same product."""
+    return listings.pairs(_products(spark, folder))
+
+
+def p6_grupos(spark: SparkSession, folder: str) -> DataFrame:
+    """The product of every listing and catalogue entry."""
+    return listings.groups(_products(spark, folder))
+
+
 def p7_percentiles(spark: SparkSession, folder: str) -> DataFrame:
     """Quartiles of chain prices by presentation, chain and month, and of market medians and first quartiles by month."""
     chains, market = read_table(spark, folder, "mart_precio_cadena_mes"), read_table(spark, folder, "mart_precio_ndf_mes")
@@ -37,4 +56,4 @@ def p9_contenedores(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(sizes, "doc_id", "tokens", 2048)
 
 
-QUERIES = {f.__name__: f for f in (p4_found, p7_percentiles, p8_ids, p9_contenedores)}
+QUERIES = {f.__name__: f for f in (p4_found, p6_found, p6_grupos, p7_percentiles, p8_ids, p9_contenedores)}
