@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from criba.llm import bpe, forest, listings, packing, quantiles
+from criba.llm import bpe, forest, listings, packing, quantiles, topics
 from criba.session import read_table
 
 
@@ -56,4 +56,20 @@ def p9_contenedores(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(sizes, "doc_id", "tokens", 2048)
 
 
-QUERIES = {f.__name__: f for f in (p4_found, p6_found, p6_grupos, p7_percentiles, p8_ids, p9_contenedores)}
+def p10_found(spark: SparkSession, folder: str) -> DataFrame:
+    """The subject areas that each document deals with."""
+    return _topics(spark, folder).select("doc_id", "tema")
+
+
+def _topics(spark: SparkSession, folder: str) -> DataFrame:
+    documents, labels, subjects = (read_table(spark, folder, n) for n in ("documents", "doc_etiquetas", "temas"))
+    return topics.assign_topics(documents, "doc_id", "text", labels, "tema", subjects)
+
+
+def p10_composicion(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents by subject area, and the text share given to it."""
+    found = _topics(spark, folder).groupBy("tema")
+    return found.agg(F.count("*").alias("documentos"), F.round(F.sum("parte"), 3).alias("partes"))
+
+
+QUERIES = {f.__name__: f for f in (p4_found, p6_found, p6_grupos, p7_percentiles, p8_ids, p9_contenedores, p10_found, p10_composicion)}
