@@ -71,3 +71,63 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (p1_found, p2_found, p2_esquema_union, p2_filas, p3_found, p3_validas, p5_found, p5_versiones)}
+
+_DATE = r"""try_strptime(regexp_replace({}, '^[\s\x{{a0}}]+|[\s\x{{a0}}]+$', '', 'g'), ['%d/%m/%y', '%Y-%m-%d %H:%M:%S', '%d/%m/%y %H:%M', '%d/%m/%Y %H:%M', '%Y-%m-%d'])"""
+
+#: Captured lines cut into cells, joined to their file's columns, and the roles of these by known name.
+_CELLS_SQL = r"""
+with recursive_free as (select 1),
+declared as (select ruta, serie, anio_mes, list_transform(case when not sin_header and coalesce(trim(primera_linea), '') <> '' then string_split(primera_linea, ',') else coalesce(columnas, []) end,
+  lambda n: replace(strip_accents(lower(trim(n))), ' ', '_')) as nombres from archivo_declarado),
+lines as (select _archivo_origen, _fila_num, linea, string_split(linea, '"') as p from captura_cruda where _fila_num > 0),
+judged as (select *, len(p) > 1 and (len(p) % 2 = 0 or len(list_filter(range(1, len(p) + 1), lambda i: i % 2 = 1 and p[i] <> ''
+    and ((i < len(p) and not suffix(p[i], ',')) or (i > 1 and not prefix(p[i], ','))))) > 0) as comillas from lines),
+celled as (select *, list_transform(string_split(array_to_string(list_transform(range(1, len(p) + 1), lambda i: case when i % 2 = 0 then replace(p[i], ',', chr(57344))
+    when p[i] = '' and i > 1 and i < len(p) then '"' else p[i] end), ''), ','), lambda c: replace(c, chr(57344), ',')) as celdas from judged),
+laid as (select c._archivo_origen, _fila_num, comillas, celdas, nombres from celled c left join declared d on d.ruta = c._archivo_origen)
+"""
+
+_PRICE_NAMES = "['precio_actual', 'precio_normal', 'precio_regular', 'precio', 'precio_lista']"
+_DATE_NAMES = "['fecha_captura', 'fecha', 'fecha_hora_captura', 'fecha_registro', 'capturado_en']"
+_PRICE_BAD = r"""not (upper({t}) in ('', 'NO DISPONIBLE', 'N/A', 'NULL', '#N/D')) and not coalesce(regexp_full_match(
+  case when not contains({x}, ',') or contains({x}, '.') then replace(replace({x}, ',', ''), '.', '') || case when contains(replace({x}, ',', ''), '.') and (suffix({x}, '.') or prefix({x}, '.')) then 'x' else '' end
+       when len(string_split({x}, ',')[-1]) = 3 then replace({x}, ',', '') when len(string_split({x}, ',')[-1]) in (1, 2) and len(string_split({x}, ',')) = 2 then replace({x}, ',', '') end, '[0-9]+'), false)"""
+_TRIM = r"regexp_replace(coalesce({}, ''), '^[\s\x{{a0}}]+|[\s\x{{a0}}]+$', '', 'g')"
+_BARE = r"regexp_replace(translate({}, '$ ' || chr(160), ''), '\.+$', '')"
+
+
+def _bad_price(column: str) -> str:
+    t = _TRIM.format(column)
+    return _PRICE_BAD.format(t=t, x=_BARE.format(t))
+
+
+_RAW_COLUMNS = ("sku_raw", "url_producto", "producto", "precio_actual_raw", "precio_oferta_raw", "url_imagen", "fecha_captura_raw", "tienda_raw")
+
+_P3_SQL = (
+    _CELLS_SQL
+    + f""", cells as (select *, list_filter(range(1, len(nombres) + 1), lambda i: list_contains({_PRICE_NAMES}, nombres[i]))[1] as ip,
+  list_filter(range(1, len(nombres) + 1), lambda i: list_contains({_DATE_NAMES}, nombres[i]))[1] as id from laid),
+picked as (select _archivo_origen, _fila_num, comillas, celdas, nombres, celdas[ip] as precio, celdas[id] as fecha from cells),
+loaded as (select _archivo_origen, _fila_num, precio_actual_raw as precio, fecha_captura_raw as fecha,
+  {' and '.join(f"{_TRIM.format(c)} = ''" for c in _RAW_COLUMNS)} as vacia from precios_ext),
+whole as (select _archivo_origen, _fila_num, precio, fecha, case when not comillas and len(list_filter(celdas, lambda c: regexp_replace(c, '[\\s\\x{{a0}}]+', '', 'g') <> '')) = 0 then 'fila_vacia'
+  when comillas then 'comillas' when len(celdas) <> len(nombres) then 'columnas' end as m from picked
+  union all select _archivo_origen, _fila_num, precio, fecha, case when vacia then 'fila_vacia' end from loaded)
+select _archivo_origen, _fila_num, m as motivo from whole where m is not null
+union all select _archivo_origen, _fila_num, 'precio_actual' from whole where m is null and {_bad_price('precio')}
+union all select _archivo_origen, _fila_num, 'fecha_captura' from whole where m is null and {_DATE.format("coalesce(fecha, '')")} is null"""
+).replace("with recursive_free as (select 1),\n", "with ")
+
+_P5_SQL = r"""
+with norm as (select producto_key, fecha_corte, cargado_en, lower(regexp_replace(descripcion, '[\s\x{a0}]+', '', 'g')) as d,
+    regexp_replace(lower(regexp_replace(url_producto_actual, '[\s\x{a0}]+', '', 'g')), '\?[^#]*', '') as u, regexp_replace(lower(regexp_replace(url_imagen_actual, '[\s\x{a0}]+', '', 'g')), '\?[^#]*', '') as i from dim_producto_corte),
+last as (select * from norm qualify row_number() over (partition by producto_key, fecha_corte order by cargado_en desc, d desc, u desc, i desc) = 1),
+filled as (select producto_key, fecha_corte, last_value(d ignore nulls) over w as d, last_value(u ignore nulls) over w as u, last_value(i ignore nulls) over w as i from last
+    window w as (partition by producto_key order by fecha_corte rows between unbounded preceding and current row)),
+marked as (select *, lag(fecha_corte) over w is null or d is distinct from lag(d) over w or u is distinct from lag(u) over w or i is distinct from lag(i) over w as fresh from filled
+    window w as (partition by producto_key order by fecha_corte))
+select producto_key, strftime(fecha_corte, '%Y-%m-%d') as valido_desde, coalesce(strftime(lead(fecha_corte) over (partition by producto_key order by fecha_corte), '%Y-%m-%d'), '9999-12-31') as valido_hasta
+from marked where fresh"""
+
+#: The spike and drift queries have no SQL: they are tested against cases written out by hand.
+ORACLES = {"p3_found": _P3_SQL, "p5_found": _P5_SQL}
