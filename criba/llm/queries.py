@@ -73,3 +73,24 @@ def p10_composicion(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (p4_found, p6_found, p6_grupos, p7_percentiles, p8_ids, p9_contenedores, p10_found, p10_composicion)}
+
+_P4_SQL = """
+with q as (select producto_key, embedding::double[] as v from emb_producto where len(embedding) = 96 and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+b as (select ndf_id, embedding::double[] as v from emb_ndf where len(embedding) = 96 and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+p as (select producto_key, ndf_id, row_number() over (partition by producto_key order by round(list_cosine_similarity(q.v, b.v), 9) desc, ndf_id) as lugar from q cross join b)
+select producto_key, ndf_id from p where lugar <= 5"""
+
+_P7_SQL = """
+with v as (select 'precio/ndf_id' as dimension, ndf_id as grupo, cast(precio as double) as x from mart_precio_cadena_mes
+  union all select 'precio/tienda_key', cast(tienda_key as varchar), cast(precio as double) from mart_precio_cadena_mes
+  union all select 'precio/mes', cast(mes as varchar), cast(precio as double) from mart_precio_cadena_mes
+  union all select 'precio_mediana/mes', cast(mes as varchar), cast(precio_mediana as double) from mart_precio_ndf_mes
+  union all select 'precio_p25/mes', cast(mes as varchar), cast(precio_p25 as double) from mart_precio_ndf_mes),
+g as (select dimension, grupo, count(*) as n, list_sort(list(x)) as s from v where x is not null group by 1, 2)
+select dimension, grupo, n, p, s[cast(greatest(1, ceil(p * n - 1e-9)) as bigint)] as valor, 0.0 as error_rango from g cross join (values (0.25), (0.5), (0.75)) t(p)"""
+
+#: The percentiles equal the SQL's where no group has more values than a sketch holds exactly.
+#: Tokens, containers, products and subjects have no SQL; tests hold them against other means.
+ORACLES = {"p4_found": _P4_SQL, "p7_percentiles": _P7_SQL}
