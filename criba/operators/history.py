@@ -58,7 +58,8 @@ def attribute_versions(
         for batch in batches:
             if batch.empty:
                 continue
-            batch = batch.assign(t=batch["t"].astype("int64"))
+            # Plain objects: joined Arrow-backed texts come in chunks, which Spark does not take back.
+            batch = batch.astype({c: object for c in ("k", *values, *marks)}).assign(t=batch["t"].astype("int64"))
             rows = batch if carry is None else pd.concat([carry, batch], ignore_index=True)
             group = rows["k"].ne(rows["k"].shift()).cumsum()
             filled = rows[[*values, *marks]].groupby(group, sort=False).ffill()
@@ -79,7 +80,7 @@ def attribute_versions(
             yield _typed(carry.assign(u=never), values)
 
     def _typed(rows: pd.DataFrame, values: list[str]) -> pd.DataFrame:
-        return rows[["k", "t", "u", *values]].astype({"t": "int32", "u": "int32"})
+        return rows[["k", "t", "u", *values]].astype({"t": "int32", "u": "int32", "k": object, **{v: object for v in values}})
 
     merged = last.repartition("k").sortWithinPartitions("k", "t").mapInPandas(merge, schema)
     day = lambda c: F.date_add(F.lit("1970-01-01").cast("date"), F.col(c))
