@@ -32,7 +32,7 @@ def _normal_equations(panel: DataFrame, by: Sequence[str], item: str, effect: st
         F.count_if(F.col("x.e") == F.col("z.e")).alias("items"),
     )
     whole = items.groupBy(*by).agg(F.sum(F.col("qi") - F.col("si") * F.col("si") / F.col("ni")).alias("yy"), F.sum("ni").alias("n"), F.count("*").alias("absorbidos"))
-    return off.join(F.broadcast(whole), list(by)) if by else off.crossJoin(F.broadcast(whole))
+    return off.join(whole, list(by))
 
 
 def _solve(group: pd.DataFrame) -> tuple[list, np.ndarray, np.ndarray, pd.DataFrame]:

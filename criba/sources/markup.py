@@ -94,7 +94,7 @@ def select_texts(pages: DataFrame, page: str, wanted: dict[str, tuple[str | None
     Either of the two may be None. Blanks are squeezed; broken markup is read as far as it goes.
     """
     names = list(wanted)
-    schema = StructType(pages.schema.fields)
+    schema = StructType(list(pages.schema.fields))
     for n in names:
         schema = schema.add(n, "string")
 
