@@ -261,6 +261,9 @@ def topic_posteriors(documents: DataFrame, key: str, text: str, labels: DataFram
         if row[0] is not None:
             about[names.index(row[0])] += [str(v) for v in row[1:] if v is not None]
     many = len(names)
+    kind = dict(documents.dtypes)[key]
+    if not many:
+        return documents.sparkSession.createDataFrame([], f"`{key}` {kind}, tema string, parte double, posterior double")
     place = F.coalesce(*[F.when(F.col(label) == n, i) for i, n in enumerate(names)], F.when(F.col(label).isNull(), many))
     told = labels.select(F.col(key).alias("k"), place.alias("i")).where("k is not null and i is not null").groupBy("k").agg(F.sort_array(F.collect_set("i")).alias("temas"))
     words = prepared(documents, key, text, rules.features)
@@ -270,7 +273,6 @@ def topic_posteriors(documents: DataFrame, key: str, text: str, labels: DataFram
     for temper in rules.tempers:
         counts = _count(docs, many, rules, complement_model(counts, rules.alpha), temper) + _seed(about, many, rules)
     shared = docs.sparkSession.sparkContext.broadcast(complement_model(counts, rules.alpha))
-    kind = dict(docs.dtypes)["k"]
 
     def shares(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
