@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from criba.functions.text import as_column, strip
+from criba.functions.text import as_column, bind, strip
 
 # Texts that say there is no price, compared in upper case and without outer blanks.
 NO_PRICE = ("", "NO DISPONIBLE", "N/A", "NULL", "#N/D")
@@ -25,7 +25,10 @@ def price_digits(c: Column | str) -> Column:
     thousands; a lone comma does so before three digits and is the decimal sign
     before one or two. Of several dots the last is the decimal sign.
     """
-    bare = F.regexp_replace(F.translate(strip(c), "$ \u00a0", ""), r"\.+$", "")
+    return bind(F.rtrim(F.translate(strip(c), "$ \u00a0", ""), F.lit(".")), _plain_number)
+
+
+def _plain_number(bare: Column) -> Column:
     after_comma = F.length(F.substring_index(bare, ",", -1))
     lone_comma = (
         F.when(after_comma == 3, F.translate(bare, ",", ""))
@@ -37,7 +40,7 @@ def price_digits(c: Column | str) -> Column:
         .otherwise(lone_comma)
     )
     one_point = F.regexp_replace(points, r"\.(?=.*\.)", "")
-    return F.when(one_point.rlike(r"\A[0-9]+(\.[0-9]+)?\z"), one_point)
+    return F.nullif(F.regexp_extract(one_point, r"\A([0-9]+(?:\.[0-9]+)?)\z", 1), F.lit(""))
 
 
 def parse_price(c: Column | str) -> Column:

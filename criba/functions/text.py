@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: White space of any kind, as a Java character class body: Unicode separators,
-#: controls that break lines, and the zero-width marks that stand for no text.
-SPACE = r"\s\p{Z}\x{1c}-\x{1f}\x{85}\x{200b}\x{200c}\x{200d}\x{2060}\x{feff}"
+#: White space of any kind: blanks and line breaks of Unicode, control separators, and the
+#: zero-width marks that stand for no text.
+WHITE = "".join(map(chr, [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200E), 0x2028, 0x2029, 0x202F, 0x205F, 0x2060, 0x3000, 0xFEFF]))
 
 
 def _accent_map() -> tuple[str, str]:
@@ -31,14 +32,23 @@ def as_column(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often ``body`` names it.
+
+    Nested conditions would otherwise repeat the expression of the value at every
+    mention, in the plan and at run time.
+    """
+    return F.get(F.transform(F.array(value), lambda x: body(x)), F.lit(0))
+
+
 def strip(c: Column | str) -> Column:
     """Without white space of any kind at either end; null stays null."""
-    return F.regexp_replace(as_column(c), f"^[{SPACE}]+|[{SPACE}]+$", "")
+    return F.btrim(as_column(c), F.lit(WHITE))
 
 
 def squeeze(c: Column | str) -> Column:
     """Without any white space at all."""
-    return F.regexp_replace(as_column(c), f"[{SPACE}]+", "")
+    return F.translate(as_column(c), WHITE, "")
 
 
 def is_blank(c: Column | str) -> Column:
@@ -71,7 +81,7 @@ def clean_text(c: Column | str) -> Column:
 def column_name(c: Column | str) -> Column:
     """Normal form of a column name: no BOM, lower case, no accents, blanks as ``_``."""
     bare = strip(F.regexp_replace(as_column(c), r"^\x{feff}", ""))
-    return F.regexp_replace(fold_accents(F.lower(bare)), f"[{SPACE}]", "_")
+    return F.translate(fold_accents(F.lower(bare)), WHITE, "_" * len(WHITE))
 
 
 def tokens(c: Column | str) -> Column:

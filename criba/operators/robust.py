@@ -2,6 +2,7 @@
 
 Group statistics are computed by aggregation and joined back rather than by
 windows over whole groups, so that a large group is reduced before it moves.
+What is read both for the statistics and for the join is written once.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from criba.functions.stats import guarded
+from criba.session import cut_lineage
 
 
 def _joined(df: DataFrame, by: Sequence[str], *aggregates: Column) -> DataFrame:
@@ -26,8 +28,8 @@ def robust_scores(df: DataFrame, by: Sequence[str], value: str, least: int = 4,
     than ``least`` values have null scores and no outliers. Rows of null or
     non-positive value are left out.
     """
-    logs = df.where(F.col(value) > 0).withColumn("_x", F.ln(F.col(value).cast("double")))
-    centred = _joined(logs, by, F.count("*").alias("n"), F.expr("percentile(_x, 0.5)").alias("_m")).withColumn("_d", F.col("_x") - F.col("_m"))
+    logs = cut_lineage(df.where(F.col(value) > 0).withColumn("_x", F.ln(F.col(value).cast("double"))))
+    centred = cut_lineage(_joined(logs, by, F.count("*").alias("n"), F.expr("percentile(_x, 0.5)").alias("_m")).withColumn("_d", F.col("_x") - F.col("_m")))
     spread = _joined(centred, by, F.expr("percentile(abs(_d), 0.5)").alias("_mad"), F.avg(F.abs("_d")).alias("_mean"))
     z = F.when(F.col("_mad") > 0, 0.6745 * F.col("_d") / F.col("_mad")).when(F.col("_mean") > 0, F.col("_d") / (1.2533 * F.col("_mean"))).otherwise(0.0)
     scored = spread.withColumn("z", guarded(z, "n", least))

@@ -417,7 +417,7 @@ def urls_vistas(spark: SparkSession, folder: str) -> DataFrame:
     return read_table(spark, folder, "precios_ext").select(keys.canonical_url("url_producto").alias("url")).where("url <> ''").distinct()
 
 
-@query("""select event_type, count(*) as n, sum(cast(json_extract_string(props, '$.k') as bigint)) as suma_k from events group by 1""")
+@query("""select event_type, count(*) as n, cast(sum(cast(json_extract_string(props, '$.k') as bigint)) as bigint) as suma_k from events group by 1""")
 def json_props(spark: SparkSession, folder: str) -> DataFrame:
     """A number inside JSON properties, summed by type of event."""
     told = read_table(spark, folder, "events").withColumn("p", markup.from_answer("props", "k bigint"))
@@ -496,7 +496,7 @@ def decision_vectorial(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(_KNN_SQL + """, f as (select la < 5 as grupo, greatest(0, ceil(round(d / 0.025, 6))) as i, la = lb as ok from k where lugar = 1),
 n as (select grupo, count(*) as total from f group by 1)
-select grupo, round(s * 0.025, 3) as tau, count(*) as aceptados, count(case when ok then 1 end) as aciertos,
+select grupo, round(cast(s as double) * 0.025, 3) as tau, count(*) as aceptados, count(case when ok then 1 end) as aciertos,
   round(count(case when ok then 1 end) / count(*), 6) as precision, round(count(*) / any_value(total), 6) as volumen
 from f join n using (grupo) join range(0, 41) t(s) on f.i <= s group by grupo, s""")
 def calibracion_tau(spark: SparkSession, folder: str) -> DataFrame:
