@@ -89,7 +89,7 @@ with v as (select 'precio/ndf_id' as dimension, ndf_id as grupo, cast(precio as
   union all select 'precio_mediana/mes', cast(mes as varchar), cast(precio_mediana as double) from mart_precio_ndf_mes
   union all select 'precio_p25/mes', cast(mes as varchar), cast(precio_p25 as double) from mart_precio_ndf_mes),
 g as (select dimension, grupo, count(*) as n, list_sort(list(x)) as s from v where x is not null group by 1, 2)
-select dimension, grupo, n, p, s[cast(greatest(1, ceil(p * n - 1e-9)) as bigint)] as valor, 0.0 as error_rango from g cross join (values (0.25), (0.5), (0.75)) t(p)"""
+select dimension, grupo, n, cast(p as double) as p, s[cast(greatest(1, ceil(p * n - 1e-9)) as bigint)] as valor, cast(0.0 as double) as error_rango from g cross join (values (0.25), (0.5), (0.75)) t(p)"""
 
 #: The percentiles equal the SQL's where no group has more values than a sketch holds exactly.
 #: Tokens, containers, products and subjects have no SQL; tests hold them against other means.
