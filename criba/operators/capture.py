@@ -97,8 +97,9 @@ def column_roles(records: DataFrame, files: DataFrame, stores: DataFrame) -> Dat
     """
     named = (
         records.where("nombres is not null")
-        .select("_archivo_origen", F.posexplode(F.col("nombres")).alias("pos", "nombre"))
+        .select("_archivo_origen", "nombres")
         .distinct()
+        .select("_archivo_origen", F.posexplode(F.col("nombres")).alias("pos", "nombre"))
         .withColumn("rol", role_by_name(F.col("nombre")))
     )
     unknown = named.where("rol is null").select("_archivo_origen", "pos", "nombre")
