@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from criba.functions.text import squeeze
-from criba.operators import badrows, drift
+from criba.operators import badrows, capture, drift
 from criba.operators.history import attribute_versions
 from criba.operators.spikes import flag_spikes
 from criba.session import read_table
@@ -129,5 +129,42 @@ marked as (select *, lag(fecha_corte) over w is null or d is distinct from lag(d
 select producto_key, strftime(fecha_corte, '%Y-%m-%d') as valido_desde, coalesce(strftime(lead(fecha_corte) over (partition by producto_key order by fecha_corte), '%Y-%m-%d'), '9999-12-31') as valido_hasta
 from marked where fresh"""
 
-#: The spike and drift queries have no SQL: they are tested against cases written out by hand.
-ORACLES = {"p3_found": _P3_SQL, "p5_found": _P5_SQL}
+_P5_VERSIONS_SQL = (
+    _P5_SQL.replace("fecha_corte, cargado_en, lower(", "fecha_corte, cargado_en, descripcion, url_producto_actual, url_imagen_actual, lower(")
+    .replace("order by cargado_en desc, d desc, u desc, i desc)", "order by cargado_en desc, d desc, u desc, i desc, descripcion desc, url_producto_actual desc, url_imagen_actual desc)")
+    .replace("ignore nulls) over w as i from last", "ignore nulls) over w as i, last_value(descripcion ignore nulls) over w as descripcion, last_value(url_producto_actual ignore nulls) over w as url_producto_actual, last_value(url_imagen_actual ignore nulls) over w as url_imagen_actual from last")
+    .replace("select producto_key, strftime(fecha_corte, '%Y-%m-%d') as valido_desde, coalesce(strftime(lead(fecha_corte) over (partition by producto_key order by fecha_corte), '%Y-%m-%d'), '9999-12-31') as valido_hasta",
+             "select producto_key, fecha_corte as valido_desde, coalesce(lead(fecha_corte) over (partition by producto_key order by fecha_corte), date '9999-12-31') as valido_hasta, descripcion, url_producto_actual, url_imagen_actual")
+)
+
+
+def _role_sql(name: str) -> str:
+    whens = " ".join(f"when {name} in ({', '.join(repr(n) for n in names)}) then '{role}'" for role, names in capture.KNOWN_NAMES.items())
+    return f"case {whens} end"
+
+
+_DAY = r"([0-9]{1,2}/[0-9]{1,2}/([0-9]{2}|[0-9]{4})|[0-9]{4}-[0-9]{1,2}-[0-9]{1,2})"
+_KIND_SQL = rf"""case when upper(t) in ('', 'NO DISPONIBLE', 'N/A', 'NULL', '#N/D', 'NONE', 'NAN', 'SIN FECHA') then 'vacio' when regexp_full_match(t, '[0-9]+(\.[0-9]+)?') then 'numero'
+  when regexp_full_match(t, '{_DAY}') then 'fecha' when regexp_full_match(t, '{_DAY}[T\s]+[0-9]{{1,2}}:[0-9]{{1,2}}(:[0-9]{{1,2}})?Z?') then 'fecha_hora' else 'texto' end"""
+_AT = "list_filter(range(1, len(nombres) + 1), lambda i: list_contains({}, nombres[i]))[1]"
+
+#: Names never seen before are told by content, which this SQL does not try; the test tables have none.
+_P2_SQL = (
+    _CELLS_SQL.replace("with recursive_free as (select 1),\n", "with ")
+    + f""", vals as (select _archivo_origen as ruta, precio_actual_raw as pa, precio_oferta_raw as po, fecha_captura_raw as fe from precios_ext
+  union all select _archivo_origen, celdas[{_AT.format(_PRICE_NAMES)}], celdas[{_AT.format("['precio_oferta', 'precio_promo', 'rebaja']")}], celdas[{_AT.format(_DATE_NAMES)}]
+  from laid where not comillas and len(celdas) = len(nombres)),
+long as (select ruta, 'precio_actual' as c, {_TRIM.format('pa')} as t from vals union all select ruta, 'precio_oferta', {_TRIM.format('po')} from vals union all select ruta, 'fecha_captura', {_TRIM.format('fe')} from vals),
+kinds as (select ruta, c, {_KIND_SQL} as k, count(*) as n from long group by all),
+most as (select ruta, c, first(k order by n desc, list_position(['numero', 'fecha', 'fecha_hora', 'texto'], k)) as k from kinds where k <> 'vacio' group by 1, 2),
+seq as (select ruta, nombres, lag(ruta) over (partition by serie order by anio_mes, ruta) as r0, lag(nombres) over (partition by serie order by anio_mes, ruta) as n0 from declared where serie is not null),
+fresh as (select ruta, n, {_role_sql('n')} as rol from (select ruta, unnest(list_filter(nombres, lambda x: not list_contains(n0, x))) as n from seq where r0 is not null)),
+gone as (select ruta, n, {_role_sql('n')} as rol from (select ruta, unnest(list_filter(n0, lambda x: not list_contains(nombres, x))) as n from seq where r0 is not null)),
+named as (select ruta, n, {_role_sql('n')} as rol from (select ruta, unnest(nombres) as n from seq))
+select f.ruta, case when g.n is null then 'agregada' else 'renombrada' end as cambio, f.n as columna from fresh f left join gone g on g.ruta = f.ruta and g.rol = f.rol
+union all select g.ruta, 'eliminada', g.n from gone g left join fresh f on g.ruta = f.ruta and g.rol = f.rol where f.n is null
+union all select s.ruta, 'tipo', n.n from seq s join most a on a.ruta = s.ruta join most b on b.ruta = s.r0 and b.c = a.c join named n on n.ruta = s.ruta and n.rol = a.c where a.k <> b.k"""
+)
+
+#: The spike query has no SQL: it is tested against cases written out by hand.
+ORACLES = {"p2_found": _P2_SQL, "p3_found": _P3_SQL, "p5_found": _P5_SQL, "p5_versiones": _P5_VERSIONS_SQL}
