@@ -206,7 +206,8 @@ def _count(docs: DataFrame, subjects: int, rules: TopicRules, model: np.ndarray
     got = parts.groupBy("f").agg(*[F.sum(n).alias(n) for n in names]).toPandas()
     out = np.zeros((rules.features, subjects + 1))
     out[got["f"].to_numpy()] = got[names].to_numpy()
-    shared.unpersist()
+    # Collected already: neither the driver nor the tasks need this model any more.
+    shared.destroy()
     return out
 
 
