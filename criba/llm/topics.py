@@ -176,11 +176,17 @@ def complement_model(counts: np.ndarray, alpha: float) -> np.ndarray:
     """Complement naive Bayes weights of a matrix of features by subjects, centred by feature.
 
     The weight of a feature for a subject is minus the log of its smoothed share in
-    all other subjects, so that a rich subject does not crowd out a poor one.
+    all other subjects, so that a rich subject does not crowd out a poor one. Made
+    subject by subject, as the matrix is the largest thing that the driver holds.
     """
-    total = counts.sum(axis=1, keepdims=True)
-    rest = np.log((total - counts + alpha) / (total.sum() - counts.sum(axis=0) + alpha * len(counts)))
-    return (rest.mean(axis=1, keepdims=True) - rest).astype(np.float32)
+    total = counts.sum(axis=1, dtype=np.float64)
+    everything, own = total.sum(), counts.sum(axis=0, dtype=np.float64)
+    model = np.empty(counts.shape, np.float32)
+    for c in range(counts.shape[1]):
+        rest = np.maximum(total - counts[:, c], 0) + alpha
+        model[:, c] = np.log(everything - own[c] + alpha * len(counts)) - np.log(rest)
+    model -= model.mean(axis=1, keepdims=True)
+    return model
 
 
 def _count(docs: DataFrame, subjects: int, rules: TopicRules, model: np.ndarray | None, temper: float = 1.0) -> np.ndarray:
@@ -203,22 +209,23 @@ def _count(docs: DataFrame, subjects: int, rules: TopicRules, model: np.ndarray
 
     parts = docs.mapInPandas(run, "f int, " + ", ".join(f"{n} float" for n in names))
     # At most one row a feature, whatever the corpus holds.
-    got = parts.groupBy("f").agg(*[F.sum(n).alias(n) for n in names]).toPandas()
-    out = np.zeros((rules.features, subjects + 1))
-    out[got["f"].to_numpy()] = got[names].to_numpy()
+    got = parts.groupBy("f").agg(*[F.sum(n).cast("float").alias(n) for n in names]).toPandas()
+    out = np.zeros((rules.features, subjects + 1), np.float32)
+    place = got.pop("f").to_numpy()
+    for c, n in enumerate(names):
+        out[place, c] = got.pop(n).to_numpy()
     # Collected already: neither the driver nor the tasks need this model any more.
     shared.destroy()
     return out
 
 
-def _seed(names: dict[int, list[str]], subjects: int, rules: TopicRules) -> np.ndarray:
-    """Counts from the subjects' own names and descriptions, as if each stood in a few sentences."""
-    out = np.zeros((rules.features, subjects + 1))
+def _add_seed(counts: np.ndarray, names: dict[int, list[str]], rules: TopicRules) -> np.ndarray:
+    """``counts`` with those from the subjects' own names and descriptions, as if each stood in a few sentences."""
     for i, texts in names.items():
         for text in texts:
             for words in sentences(text):
-                out[hashed(words, rules.features), i] += 3
-    return out
+                counts[hashed(words, rules.features), i] += 3
+    return counts
 
 
 def _calibrate(share: np.ndarray, mass: np.ndarray, told: np.ndarray) -> np.ndarray:
@@ -270,10 +277,10 @@ def topic_posteriors(documents: DataFrame, key: str, text: str, labels: DataFram
     words = prepared(documents, key, text, rules.features)
     docs = cut_lineage(words.join(told, "k", "left"))
 
-    counts = _count(docs, many, rules, None) + _seed(about, many, rules)
-    for temper in rules.tempers:
-        counts = _count(docs, many, rules, complement_model(counts, rules.alpha), temper) + _seed(about, many, rules)
-    shared = docs.sparkSession.sparkContext.broadcast(complement_model(counts, rules.alpha))
+    model = None
+    for temper in (1.0, *rules.tempers):
+        model = complement_model(_add_seed(_count(docs, many, rules, model, temper), about, rules), rules.alpha)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def shares(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
