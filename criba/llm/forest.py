@@ -5,7 +5,9 @@ Sorted by that string, the vectors that share the longest prefix with a query
 stand right around it: to descend is to find its place, to ascend is to widen the
 stretch around it, in all trees by the same number of vectors. The sorted arrays
 are cut into tiles of equal length, whatever prefixes they hold, so that no
-prefix, however common, makes one task larger than the others.
+prefix, however common, makes one task larger than the others. Where more vectors
+than the stretch holds share a whole string, no cut through them is justified: the
+stretch takes in all of them, and its query goes to every tile they lie in.
 """
 
 from __future__ import annotations
@@ -28,7 +30,8 @@ class Forest:
 
     trees   independent hash strings of each vector
     bits    length of a hash string, at most 62
-    reach   base vectors looked at on each side of a query's place in each tree
+    reach   base vectors looked at on each side of a query's place in each tree,
+            besides the whole of each longer run of one hash string that these touch
     tile    base vectors of one tile of a sorted array, at least ``reach``
     block   queries, about, that one task compares with a tile
     seed    of the projections
@@ -43,24 +46,28 @@ class Forest:
 
 
 def usable_vectors(df: DataFrame, key: str, vector: str, size: int) -> DataFrame:
-    """``k`` (key as text), ``v`` (array of float) and ``h1, h2`` (what equal vectors share).
+    """``k`` (key as text), ``v`` (array of float) and ``h1, h2`` (what vectors of one direction share).
 
     Left out are rows without a key and vectors that are null, not of ``size``
     entries, all zero, or with a null or non-finite entry.
     """
     v = F.col("v")
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    norm = F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
+    # To 13 decimals, far finer than the nine of a cosine: scaled copies share it, near copies do not.
+    # The array of one entry binds the norm, which would else be worked out again for every entry.
+    direction = F.transform(F.array(norm), lambda n: F.transform(v, lambda x: F.floor(x / n * F.lit(1e13) + F.lit(0.5))))[0]
     return (
-        # Adding zero turns minus zero into zero, so that equal vectors hash alike.
+        # Adding zero turns minus zero into zero.
         df.select(F.col(key).cast("string").alias("k"), F.transform(F.col(vector), lambda x: (x + F.lit(0.0)).cast("float")).alias("v"))
         .where(F.col("k").isNotNull() & (F.size(v) == size) & finite & F.exists(v, lambda x: x != 0))
-        .withColumn("h1", F.xxhash64("v"))
-        .withColumn("h2", F.xxhash64(F.lit(size), "v", F.lit(1)))
+        .withColumn("d", direction)
+        .select("k", "v", F.xxhash64("d").alias("h1"), F.xxhash64(F.lit(size), "d", F.lit(1)).alias("h2"))
     )
 
 
 def _classes(vectors: DataFrame) -> DataFrame:
-    """One row for each distinct vector; copies are dropped before they travel."""
+    """One row for each direction; copies, scaled ones too, are dropped before they travel."""
     return vectors.groupBy("h1", "h2").agg(F.first("v").alias("v"))
 
 
@@ -89,8 +96,11 @@ def _hashed(classes: DataFrame, forest: Forest, size: int) -> DataFrame:
 
 
 def _placed(hashed: DataFrame) -> DataFrame:
-    """Every row with its place ``rank``: the number of base vectors before it in its tree's sorted array."""
-    order = ["tree", "code", "kind", "h1", "h2"]
+    """Every row with its place ``rank``: the number of base vectors before it in its tree's sorted array.
+
+    Equal strings stand in an order of the tree's own, queries among base vectors.
+    """
+    order = ["tree", "code", "mezcla", "kind", "h1", "h2"]
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         part, met = TaskContext.get().partitionId(), {}
@@ -98,23 +108,42 @@ def _placed(hashed: DataFrame) -> DataFrame:
             base = batch["kind"].eq(0).astype("int64")
             running = base.groupby(batch["tree"]).cumsum()
             before = batch["tree"].map(met).fillna(0).astype("int64")
-            yield batch[["tree", "kind", "h1", "h2"]].assign(parte=np.int32(part), b=before + running - base)
+            yield batch[["tree", "code", "kind", "h1", "h2"]].assign(parte=np.int32(part), b=before + running - base)
             for tree, n in base.groupby(batch["tree"]).sum().items():
                 met[tree] = met.get(tree, 0) + int(n)
 
-    sorted_arrays = hashed.repartitionByRange(*order).sortWithinPartitions(*order)
+    mixed = hashed.withColumn("mezcla", F.xxhash64("tree", "kind", "h1", "h2"))
+    sorted_arrays = mixed.repartitionByRange(*order).sortWithinPartitions(*order)
     # Written once: the places must stay the same when a lost part is read again.
-    counted = cut_lineage(sorted_arrays.mapInPandas(count, "tree int, kind int, h1 bigint, h2 bigint, parte int, b bigint"))
+    counted = cut_lineage(sorted_arrays.mapInPandas(count, "tree int, code bigint, kind int, h1 bigint, h2 bigint, parte int, b bigint"))
     parts = counted.groupBy("tree", "parte").agg(F.count_if(F.col("kind") == 0).alias("m"))
     before = Window.partitionBy("tree").orderBy("parte").rowsBetween(Window.unboundedPreceding, -1)
     offsets = parts.select("tree", "parte", F.coalesce(F.sum("m").over(before), F.lit(0)).alias("antes"))
-    return counted.join(offsets, ["tree", "parte"]).select("tree", "kind", "h1", "h2", (F.col("b") + F.col("antes")).alias("rank"))
+    return counted.join(offsets, ["tree", "parte"]).select("tree", "code", "kind", "h1", "h2", (F.col("b") + F.col("antes")).alias("rank"))
+
+
+def _stretches(placed: DataFrame, forest: Forest, n_base: int) -> DataFrame:
+    """Queries with their own tile and the stretch ``lo`` to ``hi`` (exclusive) of base places each is compared with."""
+    tile, reach, rank = forest.tile, forest.reach, F.col("rank")
+    queries = placed.where("kind = 1").withColumn("own", F.floor(F.least("rank", F.lit(n_base - 1)) / tile))
+    long = placed.where("kind = 0").groupBy("tree", "code").agg(F.min("rank").alias("s"), F.count("*").alias("n")).where(F.col("n") > reach)
+    e = F.col("s") + F.col("n")
+    tiles = F.sequence(F.floor(F.greatest(F.col("s") - reach, F.lit(0)) / tile), F.floor((e - 1 + reach) / tile))
+    # A tile meets few of them, as each is longer than the reach.
+    met = long.select("tree", F.explode(tiles).alias("own"), F.struct("s", e.alias("e")).alias("run")).groupBy("tree", "own").agg(F.collect_list("run").alias("runs"))
+    touched = F.filter("runs", lambda r: (r["s"] < rank + reach) & (r["e"] > rank - reach))
+    lo = F.least(rank - reach, F.array_min(F.transform(touched, lambda r: r["s"])))
+    hi = F.greatest(rank + reach, F.array_max(F.transform(touched, lambda r: r["e"])))
+    return queries.join(met, ["tree", "own"], "left").select("tree", "own", "kind", "h1", "h2", "rank", lo.alias("lo"), hi.alias("hi"))
 
 
 def _tiled(placed: DataFrame, forest: Forest, n_base: int) -> DataFrame:
     """Rows with the tiles they take part in; a tile with many queries is repeated for blocks of them."""
     tile, reach = forest.tile, forest.reach
-    queries = placed.where("kind = 1").withColumn("tile", F.floor(F.least("rank", F.lit(n_base - 1)) / tile))
+    # Neighbouring tiles hold each other's edges; a stretch beyond the reach goes to all tiles that it meets.
+    first = F.when(F.col("lo") < F.col("rank") - reach, F.floor(F.col("lo") / tile)).otherwise(F.col("own"))
+    last = F.when(F.col("hi") > F.col("rank") + reach, F.floor((F.col("hi") - 1) / tile)).otherwise(F.col("own"))
+    queries = _stretches(placed, forest, n_base).withColumn("tile", F.explode(F.sequence(first, last)))
     loads = queries.groupBy("tree", "tile").agg(F.ceil(F.count("*") / forest.block).alias("salts"))
     own = F.floor(F.col("rank") / tile)
     base = placed.where("kind = 0").withColumn(
@@ -131,29 +160,29 @@ def _tiled(placed: DataFrame, forest: Forest, n_base: int) -> DataFrame:
     )
     each = base.join(loads, ["tree", "tile"]).withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)))
     one = queries.join(loads, ["tree", "tile"]).withColumn("salt", F.pmod("h2", F.col("salts")))
-    columns = ["tree", "tile", "salt", "kind", "h1", "h2", "rank"]
-    return each.select(columns).unionByName(one.select(columns))
+    columns = ["tree", "tile", "salt", "kind", "h1", "h2", "lo", "hi"]
+    places = {"lo": F.col("rank"), "hi": F.col("rank") + 1}
+    return each.withColumns(places).select(columns).unionByName(one.select(columns))
 
 
-def _compare(tiles: DataFrame, forest: Forest, k: int) -> DataFrame:
-    """The k closest base vectors of each query within its reach, tile by tile, with exact cosines."""
-    reach = forest.reach
+def _compare(tiles: DataFrame, k: int) -> DataFrame:
+    """The k closest base vectors of each query within its stretch, tile by tile, with exact cosines."""
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         columns = ["q1", "q2", "b1", "b2", "cos"]
-        base, asked = group[group["kind"] == 0].sort_values("rank"), group[group["kind"] == 1]
+        base, asked = group[group["kind"] == 0], group[group["kind"] == 1]
         if base.empty or asked.empty:
             return pd.DataFrame(columns=columns)
         b = np.stack(base["v"].to_numpy()).astype(np.float64)
         b /= np.linalg.norm(b, axis=1, keepdims=True)
-        ranks, b32, ids = base["rank"].to_numpy(), b.astype(np.float32), base[["h1", "h2"]].to_numpy()
+        ranks, b32, ids = base["lo"].to_numpy(), b.astype(np.float32), base[["h1", "h2"]].to_numpy()
         out = []
         for at in range(0, len(asked), 512):
             part = asked.iloc[at : at + 512]
             q = np.stack(part["v"].to_numpy()).astype(np.float64)
             q /= np.linalg.norm(q, axis=1, keepdims=True)
-            place = part["rank"].to_numpy()[:, None]
-            near = np.where((ranks >= place - reach) & (ranks < place + reach), q.astype(np.float32) @ b32.T, np.float32(-2))
+            lo, hi = part["lo"].to_numpy()[:, None], part["hi"].to_numpy()[:, None]
+            near = np.where((ranks >= lo) & (ranks < hi), q.astype(np.float32) @ b32.T, np.float32(-2))
             # A few more than k, as single precision may order close ones wrongly.
             m = min(k + 3, near.shape[1])
             top = np.argpartition(-near, m - 1, axis=1)[:, :m]
@@ -193,9 +222,10 @@ def nearest(
     neighbours (see ``usable_vectors``); fewer than k usable base vectors give
     fewer rows, none give none. Repeated keys with equal vectors count once.
     Candidates come from the forest, their cosines are exact; a neighbour is missed
-    only if it lies beyond ``reach`` in every tree.
+    only if in every tree it lies beyond ``reach`` and in no run of one hash string
+    that is longer than ``reach`` and touched by it.
 
-    Equal vectors are one: of the base copies the k smallest keys matter, found
+    Vectors of one direction are one: of the base copies the k smallest keys matter, found
     before anything is shuffled by vector, and query copies share one search.
     """
     asked = usable_vectors(queries, query_key, query_vector, size)
@@ -207,7 +237,7 @@ def nearest(
         kind = "`{}` string, `{}` string, cos double, lugar int".format(query_key, base_key)
         return queries.sparkSession.createDataFrame([], kind)
     tiles = _tiled(_placed(_hashed(classes, forest, size)), forest, n_base).join(classes, ["kind", "h1", "h2"])
-    pairs = _compare(tiles, forest, k).distinct()
+    pairs = _compare(tiles, k).distinct()
     close = _top(pairs, ["q1", "q2"], [F.desc("cos"), F.col("b1"), F.col("b2")], k)
     # Classes that tie with the k-th are told apart by key only where they are among these k.
     named = close.drop("lugar").join(members, ["b1", "b2"])

@@ -136,6 +136,22 @@ def test_recall_on_small_tiles(spark):
     assert hits / top.size >= 0.95 and all(len(g) == 5 for g in got.values()) and len(got) == 400
 
 
+def test_runs_longer_than_the_reach_are_searched_whole(spark):
+    """A third of the base is one direction in many norms with little noise: most of it shares whole hash strings."""
+    rng = np.random.default_rng(5)
+    base, centre = rng.normal(size=(1500, 16)), rng.normal(size=16)
+    base[:500] = (centre + rng.normal(0, 4e-3, (500, 16))) * rng.uniform(0.5, 3, (500, 1))
+    base, asked = base.astype(np.float32), (centre + rng.normal(0, 4e-3, (80, 16))).astype(np.float32)
+    left = spark.createDataFrame([(f"q{i:04}", v.tolist()) for i, v in enumerate(asked)], "q string, v array<float>")
+    right = spark.createDataFrame([(f"b{i:04}", v.tolist()) for i, v in enumerate(base)], "b string, v array<float>")
+    cos = (lambda a, b: a @ b.T / np.linalg.norm(a, axis=1)[:, None] / np.linalg.norm(b, axis=1))(asked.astype(np.float64), base.astype(np.float64))
+    want = {(f"q{i:04}", f"b{j:04}") for i, row in enumerate(np.round(cos, 9)) for j in np.lexsort((np.arange(1500), -row))[:5]}
+    for tile, block in ((64, 16), (2048, 4096)):
+        found = forest.nearest(left, "q", "v", right, "b", "v", 16, 5, forest.Forest(trees=4, reach=32, tile=tile, block=block))
+        got = {(r.q, r.b) for r in found.collect()}
+        assert len(got) == len(want) and len(got & want) / len(want) >= 0.99
+
+
 def test_unusable_vectors_copies_and_ties(spark):
     nan, inf = float("nan"), float("inf")
     left = [("q1", [1.0, 0.0]), ("q2", [1.0, 0.0]), ("q3", None), ("q4", [0.0, 0.0]), ("q5", [1.0]), ("q6", [nan, 1.0]), ("q7", [inf, 1.0]), ("q8", [None, 1.0]), (None, [1.0, 1.0]), ("q1", [1.0, 0.0])]
