@@ -67,8 +67,8 @@ def usable_vectors(df: DataFrame, key: str, vector: str, size: int) -> DataFrame
 
 
 def _classes(vectors: DataFrame) -> DataFrame:
-    """One row for each direction; copies, scaled ones too, are dropped before they travel."""
-    return vectors.groupBy("h1", "h2").agg(F.first("v").alias("v"))
+    """One row for each direction with its smallest key; copies, scaled ones too, are dropped before they travel."""
+    return vectors.groupBy("h1", "h2").agg(F.first("v").alias("v"), F.min("k").alias("k"))
 
 
 def _hashed(classes: DataFrame, forest: Forest, size: int) -> DataFrame:
@@ -166,16 +166,23 @@ def _tiled(placed: DataFrame, forest: Forest, n_base: int) -> DataFrame:
 
 
 def _compare(tiles: DataFrame, k: int) -> DataFrame:
-    """The k closest base vectors of each query within its stretch, tile by tile, with exact cosines."""
+    """The k closest base vectors of each query within its stretch, tile by tile, with exact cosines.
+
+    Equal cosines stand in order of the class's smallest key ``b``. Of the classes that
+    tie with the k-th, those left out have k keys before all of theirs.
+    """
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        columns = ["q1", "q2", "b1", "b2", "cos"]
-        base, asked = group[group["kind"] == 0], group[group["kind"] == 1]
+        columns = ["q1", "q2", "b1", "b2", "b", "cos"]
+        # In order of key, so that a lower index settles a tie.
+        base, asked = group[group["kind"] == 0].sort_values("k"), group[group["kind"] == 1]
         if base.empty or asked.empty:
             return pd.DataFrame(columns=columns)
         b = np.stack(base["v"].to_numpy()).astype(np.float64)
         b /= np.linalg.norm(b, axis=1, keepdims=True)
-        ranks, b32, ids = base["lo"].to_numpy(), b.astype(np.float32), base[["h1", "h2"]].to_numpy()
+        ranks, b32, ids, keys = base["lo"].to_numpy(), b.astype(np.float32), base[["h1", "h2"]].to_numpy(), base["k"].to_numpy()
+        # What single precision may misjudge between two dot products, and what rounding may level.
+        margin = np.float32(2 * (b.shape[1] + 4) * 2.0**-24 + 2e-9)
         out = []
         for at in range(0, len(asked), 512):
             part = asked.iloc[at : at + 512]
@@ -183,20 +190,22 @@ def _compare(tiles: DataFrame, k: int) -> DataFrame:
             q /= np.linalg.norm(q, axis=1, keepdims=True)
             lo, hi = part["lo"].to_numpy()[:, None], part["hi"].to_numpy()[:, None]
             near = np.where((ranks >= lo) & (ranks < hi), q.astype(np.float32) @ b32.T, np.float32(-2))
-            # A few more than k, as single precision may order close ones wrongly.
-            m = min(k + 3, near.shape[1])
-            top = np.argpartition(-near, m - 1, axis=1)[:, :m]
-            seen = np.take_along_axis(near, top, 1) > -2
-            cos = np.round((q[:, None, :] * b[top]).sum(-1), 9)
-            cos[~seen] = -2
-            best = np.argsort(-cos, axis=1, kind="stable")[:, :k]
-            cos, top = np.take_along_axis(cos, best, 1), np.take_along_axis(top, best, 1)
-            row, col = np.nonzero(cos > -2)
-            of, to = part[["h1", "h2"]].to_numpy()[row], ids[top[row, col]]
-            out.append(pd.DataFrame({"q1": of[:, 0], "q2": of[:, 1], "b1": to[:, 0], "b2": to[:, 1], "cos": cos[row, col]}))
+            m = min(k, near.shape[1])
+            least = -np.partition(-near, m - 1, axis=1)[:, m - 1, None]
+            row, col = np.divmod(np.flatnonzero(near >= np.maximum(least - margin, np.float32(-1.5))), near.shape[1])
+            cos = np.empty(len(row))
+            for i in range(0, len(row), 65_536):
+                j = slice(i, i + 65_536)
+                cos[j] = np.round((q[row[j]] * b[col[j]]).sum(-1), 9)
+            order = np.lexsort((col, -cos, row))
+            row, col, cos = row[order], col[order], cos[order]
+            first = np.arange(len(row)) - np.searchsorted(row, row) < k
+            row, col, cos = row[first], col[first], cos[first]
+            of, to = part[["h1", "h2"]].to_numpy()[row], ids[col]
+            out.append(pd.DataFrame({"q1": of[:, 0], "q2": of[:, 1], "b1": to[:, 0], "b2": to[:, 1], "b": keys[col], "cos": cos}))
         return pd.concat(out, ignore_index=True)
 
-    return tiles.groupBy("tree", "tile", "salt").applyInPandas(run, "q1 bigint, q2 bigint, b1 bigint, b2 bigint, cos double")
+    return tiles.groupBy("tree", "tile", "salt").applyInPandas(run, "q1 bigint, q2 bigint, b1 bigint, b2 bigint, b string, cos double")
 
 
 def _top(pairs: DataFrame, by: list[str], order: list[Column], k: int) -> DataFrame:
@@ -238,9 +247,8 @@ def nearest(
         return queries.sparkSession.createDataFrame([], kind)
     tiles = _tiled(_placed(_hashed(classes, forest, size)), forest, n_base).join(classes, ["kind", "h1", "h2"])
     pairs = _compare(tiles, k).distinct()
-    close = _top(pairs, ["q1", "q2"], [F.desc("cos"), F.col("b1"), F.col("b2")], k)
-    # Classes that tie with the k-th are told apart by key only where they are among these k.
-    named = close.drop("lugar").join(members, ["b1", "b2"])
+    close = _top(pairs, ["q1", "q2"], [F.desc("cos"), F.col("b")], k)
+    named = close.drop("lugar", "b").join(members, ["b1", "b2"])
     best = _top(named, ["q1", "q2"], [F.desc("cos"), F.col("b")], k)
     found = best.join(asked.select(F.col("h1").alias("q1"), F.col("h2").alias("q2"), "k").distinct(), ["q1", "q2"])
     return found.select(F.col("k").alias(query_key), F.col("b").alias(base_key), "cos", "lugar")

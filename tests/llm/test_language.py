@@ -152,6 +152,21 @@ def test_runs_longer_than_the_reach_are_searched_whole(spark):
         assert len(got) == len(want) and len(got & want) / len(want) >= 0.99
 
 
+def test_ties_of_different_vectors_go_by_key(spark):
+    """Many vectors that tie at nine decimals without being equal, scaled or nearly so: the smallest keys win."""
+    rng = np.random.default_rng(8)
+    scaled = [(f"s{i:03}", [float(3 * i), float(4 * i), 0.0]) for i in rng.permutation(np.arange(1, 60)).tolist()]
+    near = [(f"n{i:03}", [float(i), float(i) * 1e-6, 5.0 * i]) for i in rng.permutation(np.arange(1, 60)).tolist()]
+    near += [(f"m{i:03}", [1.0, 1e-6 * i, 5.0]) for i in rng.permutation(np.arange(60)).tolist()]
+    right = spark.createDataFrame(scaled + near + [("z", [1.0, 1.0, 1.0])], "b string, v array<float>")
+    left = spark.createDataFrame([("q1", [3.0, 4.0, 0.0]), ("q2", [1.0, 0.0, 5.0])], "q string, v array<float>")
+    for tile in (16, 2048):
+        found = forest.nearest(left, "q", "v", right, "b", "v", 3, 5, forest.Forest(trees=4, reach=16, tile=tile, block=8)).collect()
+        got = {q: [r.b for r in sorted(found, key=lambda r: r.lugar) if r.q == q] for q in ("q1", "q2")}
+        assert got["q1"] == [f"s{i:03}" for i in range(1, 6)]
+        assert got["q2"] == [f"m{i:03}" for i in range(5)]
+
+
 def test_unusable_vectors_copies_and_ties(spark):
     nan, inf = float("nan"), float("inf")
     left = [("q1", [1.0, 0.0]), ("q2", [1.0, 0.0]), ("q3", None), ("q4", [0.0, 0.0]), ("q5", [1.0]), ("q6", [nan, 1.0]), ("q7", [inf, 1.0]), ("q8", [None, 1.0]), (None, [1.0, 1.0]), ("q1", [1.0, 0.0])]
