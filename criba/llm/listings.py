@@ -206,6 +206,9 @@ def _one_slip(a: Column, b: Column) -> Column:
 def repair_brands(unsolved: DataFrame, solved: DataFrame, phrases: DataFrame, catalogue: DataFrame) -> DataFrame:
     """``clave, marca`` for texts whose brand is mistyped by one slip.
 
+    The slip is in one word of four letters or more, of both the text and the brand;
+    the brand's other words stand around it as they are.
+
     Only words count that are not among the other words of texts with a known
     brand (at least twice there), so that advertising and unit words never pass for
     brands. A slip is found over the words that lack a letter of either side. Of
@@ -220,17 +223,20 @@ def repair_brands(unsolved: DataFrame, solved: DataFrame, phrases: DataFrame, ca
         .where("count >= 2")
         .select("palabra")
     )
-    words = unsolved.select("clave", "forma", "fuerza", "contenido", F.explode("palabras").alias("palabra")).where("length(palabra) >= 4").join(common, "palabra", "left_anti")
-    single = phrases.where("not contains(frase, ' ') and length(frase) >= 4").select("frase", "formas")
+    words = unsolved.select("clave", "texto", "forma", "fuerza", "contenido", F.explode("palabras").alias("palabra")).where("length(palabra) >= 4").join(common, "palabra", "left_anti")
+    parts = phrases.select("frase", "formas", F.explode(F.array_distinct(F.split("frase", " "))).alias("parte")).where("length(parte) >= 4")
     slips = (
         words.select("palabra").distinct().withColumn("v", F.explode(_without_one(F.col("palabra"))))
-        .join(single.withColumn("v", F.explode(_without_one(F.col("frase")))), "v")
-        .select("palabra", "frase", "formas")
+        .join(parts.select("parte").distinct().withColumn("v", F.explode(_without_one(F.col("parte")))), "v")
+        .select("palabra", "parte")
         .distinct()
-        .where(_one_slip(F.col("palabra"), F.col("frase")))
+        .where(_one_slip(F.col("palabra"), F.col("parte")))
     )
+    said = F.concat(F.lit(" "), F.regexp_replace("texto", "[^A-Z]+", " "), F.lit(" "))
+    slipped = F.array_join(F.transform(F.split("frase", " "), lambda w: F.when(w == F.col("parte"), F.col("palabra")).otherwise(w)), " ")
+    near = words.join(slips.join(parts, "parte"), "palabra").where(F.contains(said, F.concat(F.lit(" "), slipped, F.lit(" "))))
     sold = catalogue.where("marca is not null").select(F.col("marca").alias("frase"), "forma", "fuerza", "contenido").distinct().withColumn("igual", F.lit(True))
-    options = words.join(slips, "palabra").join(sold, ["frase", "forma", "fuerza", "contenido"], "left")
+    options = near.join(sold, ["frase", "forma", "fuerza", "contenido"], "left")
     rank = F.struct(F.coalesce("igual", F.lit(False)).cast("int").alias("a"), F.coalesce(F.array_contains("formas", F.col("forma")), F.lit(False)).cast("int").alias("b"))
     return options.groupBy("clave").agg(F.max_by("frase", F.struct(rank, F.translate("frase", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "ZYXWVUTSRQPONMLKJIHGFEDCBA"))).alias("marca"))
 
@@ -238,14 +244,15 @@ def repair_brands(unsolved: DataFrame, solved: DataFrame, phrases: DataFrame, ca
 def mined_brands(unsolved: DataFrame, solved: DataFrame) -> DataFrame:
     """Brands that the catalogue lacks: ``clave, marca`` of texts that hold a recurring unknown word.
 
-    A word is a brand where at least two texts without a known brand have it and no
-    text with one does. Of several such words the one in most texts counts, then
-    the first in the alphabet.
+    A word is a brand where at least two texts without a known brand have it, and at
+    most one text with one for every ten of them. Of several such words one that no
+    text with a known brand has goes first, then the one in most texts, then the
+    first in the alphabet.
     """
-    known = solved.select(F.explode("palabras").alias("palabra")).distinct()
-    words = unsolved.select("clave", F.explode("palabras").alias("palabra")).where("length(palabra) >= 4").join(known, "palabra", "left_anti")
-    often = words.groupBy("palabra").agg(F.count("*").alias("n")).where("n >= 2")
-    return words.join(often, "palabra").groupBy("clave").agg(F.min_by("palabra", F.struct((-F.col("n")).alias("n"), "palabra")).alias("marca"))
+    known = solved.select(F.explode("palabras").alias("palabra")).groupBy("palabra").agg(F.count("*").alias("otros"))
+    words = unsolved.select("clave", F.explode("palabras").alias("palabra")).where("length(palabra) >= 4")
+    often = words.groupBy("palabra").agg(F.count("*").alias("n")).where("n >= 2").join(known, "palabra", "left").where("coalesce(otros, 0) * 10 <= n")
+    return words.join(often, "palabra").groupBy("clave").agg(F.min_by("palabra", F.struct((F.coalesce("otros", F.lit(0)) > 0).alias("otros"), (-F.col("n")).alias("n"), "palabra")).alias("marca"))
 
 
 def products(listings: DataFrame, catalogue: DataFrame) -> DataFrame:
@@ -277,8 +284,13 @@ def products(listings: DataFrame, catalogue: DataFrame) -> DataFrame:
     unsolved = texts.join(exact, "clave", "left_anti")
     repaired = cut_lineage(repair_brands(unsolved, solved, phrases, trusted))
     still = unsolved.join(repaired, "clave", "left_anti")
-    mined = mined_brands(still, solved)
-    brands = exact.select("clave", "marca").unionByName(repaired).unionByName(mined)
+    # The recurring words join the dictionary; what the catalogue's brands left unsolved is searched and repaired with them.
+    mined = cut_lineage(still.join(mined_brands(still, solved), "clave"))
+    learned = cut_lineage(mined.groupBy(F.col("marca").alias("frase")).agg(F.collect_set("forma").alias("formas")))
+    held = cut_lineage(find_brands(still, learned))
+    told = still.join(held, "clave")
+    mended = repair_brands(still.join(held, "clave", "left_anti"), solved.unionByName(told), learned, told)
+    brands = exact.select("clave", "marca").unionByName(repaired).unionByName(held).unionByName(mended)
     columns = ["clave", "fuente", "marca", "forma", "fuerza", "contenido", "envases"]
     return (
         texts.join(brands, "clave").select(columns)

@@ -222,6 +222,21 @@ def test_listings(spark):
     assert listings.pairs(listings.products(a.limit(0), b.limit(0))).count() == 0
 
 
+def test_brands_mined_or_of_several_words_are_repaired(spark):
+    sold = [
+        ("p1", "Nuevamarca 10 mg 20 tabletas"), ("p2", "Nuevamarca 10 mg c/20 tab"), ("p3", "Nuevamrca 10 mg 20 tabs"),
+        ("p4", "Gran Boponoin crema 0.5 % 20 g"), ("p5", "Gran Boponin crema 0.5 % 20 g"), ("p6", "Gran otro Boponin crema 0.5 % 20 g"),
+    ]
+    # One known text in ten or more names the brand of others.
+    sold += [(f"r{i}", f"Raramarca {i} mg 30 tabletas") for i in range(10)] + [("r", "Gran Boponoin crema 0.5 % 40 g no Raramarca")]
+    sold += [(f"t{i}", f"Gran Boponoin {i} mg 20 tabletas") for i in (1, 2)]
+    a = spark.createDataFrame(sold, "clave string, texto string")
+    b = spark.createDataFrame([("1", "GRAN BOPONOIN CREM 0.5 % 20 G", "GRAN BOPONOIN", None)], "clave string, texto string, marca string, laboratorio string")
+    got = {r.clave: r.marca for r in listings.products(a, b).collect()}
+    brands = {"1": "GRAN BOPONOIN", "r": "GRAN BOPONOIN", "p4": "GRAN BOPONOIN", "p5": "GRAN BOPONOIN"} | {f"p{i}": "NUEVAMARCA" for i in (1, 2, 3)} | {"t1": "GRAN BOPONOIN", "t2": "GRAN BOPONOIN"}
+    assert got == brands | {f"r{i}": "RARAMARCA" for i in range(10)}
+
+
 # --- subjects ---
 
 _WORDS = {"mar": "ola playa arena barco vela puerto marea faro".split(), "pan": "horno harina masa levadura corteza miga trigo horneado".split(), "sol": "rayo calor verano luz brillo sombra mediodia nube".split()}
