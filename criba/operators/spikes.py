@@ -22,7 +22,8 @@ class SpikeRules:
     min_dev         least distance in logarithms from the course on both sides
     z               the same in robust standard deviations of the source's movement
     stuck_run       least length of a run of equal readings
-    moves_share     least share of changed readings in a source that moves
+    moves_share     least share of changes among those between readings outside held runs, in a source that moves
+    least_moves     least number of such changes
     season_hits     least number of like dips, one period apart, that make a dip regular
     block_days, halo_days   width of the time blocks a source is cut into, and of their overlap
     """
@@ -36,6 +37,7 @@ class SpikeRules:
     z: float = 6.0
     stuck_run: int = 6
     moves_share: float = 0.7
+    least_moves: int = 5
     season_hits: int = 3
     block_days: int = 7_305
     halo_days: int = 731
@@ -104,7 +106,9 @@ def reasons(days: np.ndarray, values: np.ndarray, rules: SpikeRules) -> np.ndarr
     change = np.diff(x)
     held = (length[1:] >= rules.stuck_run) & (place[1:] > 0)
     moved = ~held & (change != 0)
-    moves = moved.sum() >= max(5, rules.moves_share * (~held).sum(), 0.35 * len(change))
+    # Only readings outside held runs tell whether the source moves, however long the runs are.
+    free = (length[1:] < rules.stuck_run) & (length[:-1] < rules.stuck_run)
+    moves = (free & moved).sum() >= max(rules.least_moves, rules.moves_share * free.sum())
     used = change[moved] if moves else change
     # Differences of independent readings spread sqrt(2) times as wide as the readings.
     scale = 1.4826 * np.median(np.abs(used)) / np.sqrt(2)

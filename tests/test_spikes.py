@@ -108,3 +108,14 @@ def test_blocks_of_time_give_the_same_cases(spark):
     whole = {tuple(r) for r in flag_spikes(df, ["s"], "t", "v", SpikeRules(block_days=100_000)).collect()}
     cut = {tuple(r) for r in flag_spikes(df, ["s"], "t", "v", SpikeRules(block_days=1_500, halo_days=400)).collect()}
     assert whole == cut and len(whole) > 15
+
+
+def test_a_run_that_covers_most_of_a_series_is_stuck():
+    moving = [10.0, 10.3, 9.9, 10.2, 10.1, 9.8, 10.4]
+    for before in (3, 7):
+        values = moving[:before] + [10.15] * 17 + moving[before:]
+        found = reasons(np.arange(24) * 30, np.array(values), SpikeRules())
+        assert list(np.flatnonzero(found == "atascado")) == list(range(before + 1, before + 17))
+    # Steps alone, each held long, are no movement.
+    steps = np.repeat([10.0, 10.3, 10.6, 11.0, 11.4, 11.8, 12.1], 7)
+    assert not (reasons(np.arange(49) * 30, steps, SpikeRules()) == "atascado").any()
