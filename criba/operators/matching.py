@@ -131,18 +131,22 @@ def threshold_sweep(judged: DataFrame, by: Sequence[str], distance: str, right:
     )
 
 
-def phrase_reach(phrases: DataFrame, phrase: str, texts: DataFrame, text: str, longest: int = 7) -> DataFrame:
+def phrase_reach(phrases: DataFrame, phrase: str, texts: DataFrame, text: str) -> DataFrame:
     """For each phrase, whether and in how many texts its words stand in a row: ``phrase, textos, alcanzable``.
 
     An equality join on the vocabulary of word sequences instead of a search of
-    every phrase in every text; sequences are counted before they are joined.
+    every phrase in every text; sequences are counted before they are joined. They
+    are of the lengths that the phrases have, which are looked up first.
     """
+    wanted = phrases.select(phrase).distinct().withColumn("_p", F.array_join(tokens(phrase), " "))
+    lengths = sorted(r[0] for r in wanted.select(F.size(tokens(phrase))).distinct().collect() if r[0] and r[0] > 0)
+    words = tokens(text)
+    rows = F.flatten(F.array(*[ngrams(words, n, n) for n in lengths])) if lengths else F.array().cast("array<string>")
     said = (
-        texts.select(F.explode(F.array_distinct(ngrams(tokens(text), 1, longest))).alias("_p"))
+        texts.select(F.explode(F.array_distinct(rows)).alias("_p"))
         .groupBy("_p")
         .agg(F.count("*").alias("textos"))
     )
-    wanted = phrases.select(phrase).distinct().withColumn("_p", F.array_join(tokens(phrase), " "))
     return wanted.join(said, "_p", "left").select(phrase, F.coalesce("textos", F.lit(0)).alias("textos"), F.col("textos").isNotNull().alias("alcanzable"))
 
 

@@ -121,6 +121,14 @@ def test_threshold_sweep(spark):
     assert len(swept) == 41
 
 
+def test_phrase_reach_of_long_phrases(spark):
+    long = "UNO DOS TRES CUATRO CINCO SEIS SIETE OCHO NUEVE"
+    phrases = spark.createDataFrame([(long,), (long.replace("NUEVE", "DIEZ"),), ("DOS",), ("",), (None,)], "f string")
+    texts = spark.createDataFrame([(f"CERO {long} DIEZ",), (long,), ("DOS",)], "t string")
+    got = {r.f: (r.textos, r.alcanzable) for r in matching.phrase_reach(phrases, "f", texts, "t").collect()}
+    assert got[long] == (2, True) and got[long.replace("NUEVE", "DIEZ")] == (0, False) and got["DOS"] == (3, True)
+
+
 def test_phrase_reach_words_vectors(spark):
     phrases = spark.createDataFrame([("UNO DOS",), ("DOS TRES CUATRO",), ("NADA",)], "f string")
     texts = spark.createDataFrame([("x uno, dos tres",), ("UNO DOS uno dos",)], "t string").select(F.upper("t").alias("t"))
