@@ -49,6 +49,8 @@ class TopicRules:
     floor         prior of each subject in a document that shows none of it
     told, untold  first weight of the labelled subjects, and factor of the others
     calibrated    most labelled documents that the posterior is calibrated on
+    towards       coefficients of the posterior (constant, share, sentences) without labels;
+                  a ridge pulls towards them, the more the fewer labels there are
     threshold     least posterior of a subject that is reported
     """
 
@@ -61,6 +63,7 @@ class TopicRules:
     told: float = 0.6
     untold: float = 0.05
     calibrated: int = 50_000
+    towards: tuple[float, float, float] = (-5.4, 20.0, 1.0)
     threshold: float = 0.5
 
 
@@ -228,11 +231,14 @@ def _add_seed(counts: np.ndarray, names: dict[int, list[str]], rules: TopicRules
     return counts
 
 
-def _calibrate(share: np.ndarray, mass: np.ndarray, told: np.ndarray) -> np.ndarray:
-    """Coefficients of a logistic posterior on the share of a text and the sentences given to a subject."""
+def _calibrate(share: np.ndarray, mass: np.ndarray, told: np.ndarray, towards: tuple[float, float, float] = TopicRules.towards) -> np.ndarray:
+    """Coefficients of a logistic posterior on the share of a text and the sentences given to a subject.
+
+    Labels that are all alike, or none, don't say where to divide and leave them at ``towards``.
+    """
     x = _evidence(share, mass)
-    w = np.array([-5.4, 20.0, 1.0])
-    if len(told) < 50 or told.all() or not told.any():
+    w = np.array(towards, float)
+    if told.all() or not told.any():
         return w
     start = w.copy()
     for _ in range(25):
@@ -295,7 +301,7 @@ def topic_posteriors(documents: DataFrame, key: str, text: str, labels: DataFram
 
     found = docs.mapInPandas(shares, f"k {kind}, i int, parte double, peso double, etiquetado boolean, dicho boolean")
     sample = found.where("etiquetado").orderBy(F.xxhash64("k"), "k", "i").limit(rules.calibrated * many).select("parte", "peso", "dicho").toPandas()
-    w = _calibrate(sample["parte"].to_numpy(float), sample["peso"].to_numpy(float), sample["dicho"].to_numpy(float) > 0.5)
+    w = _calibrate(sample["parte"].to_numpy(float), sample["peso"].to_numpy(float), sample["dicho"].to_numpy(float) > 0.5, rules.towards)
     logit = F.lit(float(w[0])) + float(w[1]) * F.least("parte", F.lit(0.5)) + float(w[2]) * F.least("peso", F.lit(1.0))
     subject = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("i") + 1)
     return found.select(F.col("k").alias(key), subject.alias("tema"), "parte", (1 / (1 + F.exp(-logit))).alias("posterior"))

@@ -278,6 +278,14 @@ def test_topics_without_labels_or_documents(spark):
     assert topics.assign_topics(docs, "doc", "t", labels, "tema", subjects.limit(0)).count() == 0
 
 
+def test_few_labels_calibrate_too():
+    share, told = np.tile([0.05, 0.1, 0.15, 0.3], 10), np.tile([False, True, True, True], 10)
+    w = topics._calibrate(share, np.full(40, 0.5), told)
+    assert 1 / (1 + np.exp(-topics._evidence(np.array([0.15]), np.array([0.5])) @ w))[0] > 0.5
+    start = topics.TopicRules.towards
+    assert tuple(topics._calibrate(share[:0], share[:0], told[:0])) == start and tuple(topics._calibrate(share, share, told | True)) == start
+
+
 def test_sentences_mend_damage():
     assert topics.sentences("AtendiÃ³ bien. revi👩‍⚕️sado<br/>r <p>Hola</p> cabe000llo\\n.") == [["atendio", "bien"], ["revisador", "hola", "cabello"]]
     assert topics.sentences("  . ! 12") == []
