@@ -184,44 +184,86 @@ def test_unusable_vectors_copies_and_ties(spark):
 
 
 @pytest.mark.parametrize(
-    "text,expected",
+    "text,kind,expected",
     [
-        ("BABACAIX JBE 125 MG /5ML 150 ML X 2", ("jarabe", 25.0, 150.0, 2)),
-        ("Babacaix 125Mg 5Ml Jbe. 0.15 L Paq. 2 Piezas", ("jarabe", 25.0, 150.0, 2)),
-        ("babacaix 25 mg/ml jarabe frasco 150 ml, duo 2 cajas", ("jarabe", 25.0, 150.0, 2)),
-        ("GTS 5 ML 2 MG /ML", ("gotas", 2.0, 5.0, 1)),
-        ("0.2% sol oft fco. con 5 ml", ("gotas", 2.0, 5.0, 1)),
-        ("CREM 0.5 % 20 G", ("crema", 5.0, 20.0, 1)),
-        ("5 mg/g cra tubo con 20 gramos", ("crema", 5.0, 20.0, 1)),
-        ("GRAG. 25 MG  21 ANT", ("gragea", 25.0, 21.0, 1)),
-        ("GRAG 21 0.025 g c/21", ("gragea", 25.0, 21.0, 1)),
-        ("5000 mcg con 28 grageas 2x1 caja doble", ("gragea", 5.0, 28.0, 2)),
-        ("S.INY AMP 6 2 MG", ("inyectable", 2.0, 6.0, 1)),
-        ("Sol Iny C/6 Fco Amp 2 mg", ("inyectable", 2.0, 6.0, 1)),
-        ("SUSP 500 MG 60 ML", ("suspension", None, 60.0, 1)),
-        ("", (None, None, None, 1)),
+        ("BABACAIX JBE 125 MG /5ML 150 ML X 2", "mililitros", (25.0, 150.0, 2)),
+        ("Babacaix 125Mg 5Ml Jbe. 0.15 L Paq. 2 Piezas", "mililitros", (25.0, 150.0, 2)),
+        ("babacaix 25 mg/ml jarabe frasco 150 ml, duo 2 cajas", "mililitros", (25.0, 150.0, 2)),
+        ("GTS 5 ML 2 MG /ML", "mililitros", (2.0, 5.0, 1)),
+        ("0.2% sol oft fco. con 5 ml", "mililitros", (2.0, 5.0, 1)),
+        ("CREM 0.5 % 20 G", "gramos", (5.0, 20.0, 1)),
+        ("5 mg/g cra tubo con 20 gramos", "gramos", (5.0, 20.0, 1)),
+        ("GRAG. 25 MG  21 ANT", "piezas", (25.0, 21.0, 1)),
+        ("GRAG 21 0.025 g c/21", "piezas", (25.0, 21.0, 1)),
+        ("5000 mcg con 28 grageas 2x1 caja doble", "piezas", (5.0, 28.0, 2)),
+        ("S.INY AMP 6 2 MG", "piezas", (2.0, 6.0, 1)),
+        ("Sol Iny C/6 Fco Amp 2 mg", "piezas", (2.0, 6.0, 1)),
+        ("SUSP 500 MG 60 ML", "mililitros", (None, 60.0, 1)),
+        ("", "piezas", (None, None, 1)),
+        # Packs of any number, wherever they stand; the number of an open phrase is the content where no other is.
+        ("3 PACK FOO 500 MG 20 TABLETAS", "piezas", (500.0, 20.0, 3)),
+        ("FOO 500 MG 2 CAJAS CON 20 TABLETAS", "piezas", (500.0, 20.0, 2)),
+        ("PAQUETE TRIPLE FOO 500 MG 20 TABLETAS", "piezas", (500.0, 20.0, 3)),
+        ("FOO 500 MG 20 TABLETAS TRIPLE PACK", "piezas", (500.0, 20.0, 3)),
+        ("FOO 500 MG X 20 TABLETAS", "piezas", (500.0, 20.0, 1)),
+        ("FOO 500 MG PAQUETE CON 20 PIEZAS", "piezas", (500.0, 20.0, 1)),
+        ("FOO DOBLE ACCION 500 MG 20 TABLETAS", "piezas", (500.0, 20.0, 1)),
+        ("FOO 1 % GEL 40 G 12 CAJAS", "gramos", (10.0, 40.0, 12)),
+        ("FOO COMPRIMIDOS 500 MG 20", "piezas", (500.0, 20.0, 1)),
+        ("FOO OVULOS 500 MG 10", "piezas", (500.0, 10.0, 1)),
     ],
 )
-def test_attributes(text, expected):
-    assert listings.attributes(listings.plain(text)) == expected
+def test_attributes(text, kind, expected):
+    assert listings.attributes(listings.plain(text), kind) == expected
+
+
+@pytest.mark.parametrize("text,kind", [("JBE 50 MG /5ML 240 ML", "mililitros"), ("GEL 60 G 5 %", "gramos"), ("TABL 1 G 20", "piezas"), ("S.INY AMP 5 75 MG", "piezas"), ("", "piezas")])
+def test_content_kind(text, kind):
+    assert listings.content_kind(text) == kind
+
+
+_CATALOGUE = "clave string, texto string, marca string, laboratorio string, molecula string, forma string"
 
 
 def test_listings(spark):
     sold = [
-        ("p1", "OFERTA Boponoin 0.5% crema 20 g"), ("p2", "boponoin al 5 mg/g cra tubo con 20 gramos (lumobufeno)"), ("p3", "BOONOIN crema 0.5 % 20 g oferta"),
-        ("p4", "Boponoin 0.5% crema 40 g"), ("p5", "Nuevamarca 10 mg 20 tabletas"), ("p6", "oferta Nuevamarca 10 mg c/20 tab"), ("p7", "sin nada"), ("p8", None),
+        ("p1", "OFERTA Boponoin 0.5% crema 20 g"), ("p2", "boponoin al 5 mg/g crema tubo con 20 gramos (lumobufeno)"), ("p3", "BOONOIN crema 0.5 % 20 g oferta"),
+        ("p4", "Boponoin 0.5% crema 40 g"), ("p5", "Nuevamarca 10 mg 20 crema"), ("p6", "oferta Nuevamarca 1 % crema 40 g"), ("p61", "Nuevamarca crema 40 g 10 mg/g oferta"), ("p7", "sin nada"), ("p8", None),
         (None, "Boponoin 0.5% crema 20 g"), ("p1", "OFERTA Boponoin 0.5% crema 20 g"), ("p9", "x" * 20000),
     ]
-    known = [("1", "BOPONOIN TEP CREM 0.5 % 20 G", "BOPONOIN TEP", "TEPUIX"), ("2", "BOPONOIN. CREM. 0.5 %  20 G ANT", "BOPONOIN.", None), ("3", "BOPONOIN CREM 20 G 0.5 % X 2", "BOPONOIN", "TEPUIX"), ("4", None, None, None)]
+    known = [("1", "BOPONOIN TEP CREM 0.5 % 20 G", "BOPONOIN TEP", "TEPUIX", "LUMOBUFENO", "06"), ("2", "BOPONOIN. CREM. 0.5 %  20 G ANT", "BOPONOIN.", None, None, "06"), ("3", "BOPONOIN CREM 20 G 0.5 % X 2", "BOPONOIN", "TEPUIX", None, "06"), ("4", None, None, None, None, None)]
     a = spark.createDataFrame(sold, "clave string, texto string").withColumn("marca", F.lit("clash"))
-    b = spark.createDataFrame(known, "clave string, texto string, marca string, laboratorio string")
+    b = spark.createDataFrame(known, _CATALOGUE)
     found = listings.products(a, b)
     same = {"1", "2", "p1", "p2", "p3"}
-    expected = {(x, y) for x in same for y in same if x < y} | {("p5", "p6")}
+    expected = {(x, y) for x in same for y in same if x < y} | {("p6", "p61")}
     assert {tuple(r) for r in listings.pairs(found).collect()} == expected
+    # Records without a brand or with attributes unsaid stay, alone.
+    assert {r.clave: r.producto for r in listings.groups(found).collect()} == {k: "1" for k in same} | {k: k for k in ("3", "p4", "p5", "p7", "p9")} | {"p6": "p6", "p61": "p6"}
     assert listings.pairs(listings.products(a.limit(0), b.limit(0))).count() == 0
 
 
+def test_forms_are_learned_and_unknown_ones_merge_nothing(spark):
+    known = [(f"c{i}", f"BR{w} TABL {100 + i} MG 20", f"BR{w}", None, None, "01") for i, w in enumerate(("ANDA", "ENDA", "INDA", "ONDA"))]
+    # COMPRIMIDOS is no abbreviation of the catalogue's word; four brands show that it goes with its form.
+    sold = [(f"k{i}", f"Br{w} comprimidos {100 + i} mg 20 piezas") for i, w in enumerate(("anda", "enda", "inda", "onda"))]
+    sold += [("t1", "Branda tabletas 500 mg c/20"), ("t2", "Branda 20 tabs 500 mg"), ("o1", "Branda ovulos 500 mg 20"), ("o2", "BRANDA 20 OVULOS, 500 MG oferta"), ("o3", "oferta Branda 500 mg 20 óvulos"), ("u1", "Branda 500 mg"), ("u2", "Branda 500 mg lata")]
+    a, b = spark.createDataFrame(sold, "clave string, texto string"), spark.createDataFrame(known, _CATALOGUE)
+    group = {r.clave: r.producto for r in listings.groups(listings.products(a, b)).collect()}
+    assert all(group[f"k{i}"] == group[f"c{i}"] for i in range(4))
+    assert group["t1"] == group["t2"] != group["o1"]
+    # Of an unknown form only records of the same words and numbers are one product.
+    assert group["o2"] == group["o3"] != group["o1"] and len({group["o1"], group["u1"], group["u2"], group["t1"]}) == 4
+
+
+def test_shards_find_the_same_phrases(spark):
+    texts = spark.createDataFrame([(str(i), f"X{chr(65 + i)} UNO DOS") for i in range(20)] + [("n", "")], "clave string, texto string")
+    phrases = spark.createDataFrame([(f"X{chr(65 + i)}",) for i in range(20)] + [("UNO DOS",), ("NO DOS",)], "frase string")
+    rows = lambda rules: sorted(map(tuple, listings.find_phrases(texts, phrases, rules).collect()))
+    assert rows(listings.ListingRules()) == rows(listings.ListingRules(shard=5, block=4))
+    assert len(rows(listings.ListingRules())) == 40
+
+
 def test_brands_mined_or_of_several_words_are_repaired(spark):
     sold = [
         ("p1", "Nuevamarca 10 mg 20 tabletas"), ("p2", "Nuevamarca 10 mg c/20 tab"), ("p3", "Nuevamrca 10 mg 20 tabs"),
@@ -231,9 +273,9 @@ def test_brands_mined_or_of_several_words_are_repaired(spark):
     sold += [(f"r{i}", f"Raramarca {i} mg 30 tabletas") for i in range(10)] + [("r", "Gran Boponoin crema 0.5 % 40 g no Raramarca")]
     sold += [(f"t{i}", f"Gran Boponoin {i} mg 20 tabletas") for i in (1, 2)]
     a = spark.createDataFrame(sold, "clave string, texto string")
-    b = spark.createDataFrame([("1", "GRAN BOPONOIN CREM 0.5 % 20 G", "GRAN BOPONOIN", None)], "clave string, texto string, marca string, laboratorio string")
+    b = spark.createDataFrame([("1", "GRAN BOPONOIN CREM 0.5 % 20 G", "GRAN BOPONOIN", None, None, "06")], _CATALOGUE)
     got = {r.clave: r.marca for r in listings.products(a, b).collect()}
-    brands = {"1": "GRAN BOPONOIN", "r": "GRAN BOPONOIN", "p4": "GRAN BOPONOIN", "p5": "GRAN BOPONOIN"} | {f"p{i}": "NUEVAMARCA" for i in (1, 2, 3)} | {"t1": "GRAN BOPONOIN", "t2": "GRAN BOPONOIN"}
+    brands = {"1": "GRAN BOPONOIN", "r": "GRAN BOPONOIN", "p4": "GRAN BOPONOIN", "p5": "GRAN BOPONOIN"} | {f"p{i}": "NUEVAMARCA" for i in (1, 2, 3)} | {"t1": "GRAN BOPONOIN", "t2": "GRAN BOPONOIN", "p6": None}
     assert got == brands | {f"r{i}": "RARAMARCA" for i in range(10)}
 
 
