@@ -33,8 +33,8 @@ def folder():
     return DATA
 
 
-@pytest.fixture(scope="session")
-def duck(folder):
+def views_of(folder):
+    """A DuckDB connection with a view of every table of a folder."""
     connection = duckdb.connect()
     connection.execute("set timezone = 'UTC'")
     for path in glob.glob(f"{folder}/*.parquet"):
@@ -42,6 +42,11 @@ def duck(folder):
     return connection
 
 
+@pytest.fixture(scope="session")
+def duck(folder):
+    return views_of(folder)
+
+
 def _plain(value):
     if isinstance(value, float):
         return "nan" if math.isnan(value) else round(value, 6) + 0.0
