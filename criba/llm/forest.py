@@ -1,28 +1,30 @@
-"""Most similar vectors by a hash-prefix forest, as sorted arrays spread over a cluster.
-
-Each tree hashes every vector to a string of sign bits of random projections.
-Sorted by that string, the vectors that share the longest prefix with a query
-stand right around it: to descend is to find its place, to ascend is to widen the
-stretch around it, in all trees by the same number of vectors. The sorted arrays
-are cut into tiles of equal length, whatever prefixes they hold, so that no
-prefix, however common, makes one task larger than the others. Where more vectors
-than the stretch holds share a whole string, no cut through them is justified: the
-stretch takes in all of them, and its query goes to every tile they lie in.
+"""Most similar vectors by a hash-prefix forest: sorted arrays of hash strings, one a tree.
+
+Each tree hashes every vector to a string of sign bits of random projections and
+keeps the base's strings in a sorted array. A query descends in every tree to the
+longest prefix that it shares with a base string, by binary search; then all trees
+ascend together, one bit at a time, until the stretches of strings that share a
+prefix of that length with the query hold enough vectors in all. Those are its
+candidates, all of them: a level is never cut, so many vectors of one string are
+looked at as a whole. Exact cosines follow.
+
+The base is cut into shards of bounded size by a hash, each with a forest of its
+own, so that what a task holds does not grow with the base and a larger base
+loses no accuracy. A base of one small shard goes to the tasks that read the queries, and no
+vector of theirs moves; beyond that queries meet the shards by one shuffle.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
-from pyspark import TaskContext
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from criba.session import cut_lineage
-
 
 @dataclass(frozen=True)
 class Forest:
@@ -30,182 +32,243 @@ class Forest:
 
     trees   independent hash strings of each vector
     bits    length of a hash string, at most 62
-    reach   base vectors looked at on each side of a query's place in each tree,
-            besides the whole of each longer run of one hash string that these touch
-    tile    base vectors of one tile of a sorted array, at least ``reach``
-    block   queries, about, that one task compares with a tile
+    least   base vectors, counted once a tree, at which the trees stop to ascend
+    sent    base vectors at most, by count, that are sent to every task
+    shard   base vectors of one shard, about, beyond that
+    block   queries of one shard's task, about; also those searched at a time
     seed    of the projections
     """
 
     trees: int = 20
     bits: int = 62
-    reach: int = 256
-    tile: int = 2048
-    block: int = 4096
+    least: int = 4096
+    sent: int = 65_536
+    shard: int = 131_072
+    block: int = 65_536
     seed: int = 11
 
 
 def usable_vectors(df: DataFrame, key: str, vector: str, size: int) -> DataFrame:
-    """``k`` (key as text), ``v`` (array of float) and ``h1, h2`` (what vectors of one direction share).
+    """``k`` (key as text) and ``v`` (array of float) of the rows that take part.
 
     Left out are rows without a key and vectors that are null, not of ``size``
     entries, all zero, or with a null or non-finite entry.
     """
     v = F.col("v")
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    # Adding zero turns minus zero into zero.
+    named = df.select(F.col(key).cast("string").alias("k"), F.transform(F.col(vector), lambda x: (x + F.lit(0.0)).cast("float")).alias("v"))
+    return named.where(F.col("k").isNotNull() & (F.size(v) == size) & finite & F.exists(v, lambda x: x != 0))
+
+
+def indexed_vectors(base: DataFrame, key: str, vector: str, size: int, k: int) -> DataFrame:
+    """The base's vectors that can be among the k closest of any query: ``k, v``.
+
+    Of vectors of one direction, scaled copies too, those of the k smallest keys stand
+    for all; each partition drops the others before it shuffles. Repeated keys with equal
+    vectors count once.
+    """
+    v, known = F.col("v"), usable_vectors(base, key, vector, size)
     norm = F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
     # To 13 decimals, far finer than the nine of a cosine: scaled copies share it, near copies do not.
     # The array of one entry binds the norm, which would else be worked out again for every entry.
     direction = F.transform(F.array(norm), lambda n: F.transform(v, lambda x: F.floor(x / n * F.lit(1e13) + F.lit(0.5))))[0]
-    return (
-        # Adding zero turns minus zero into zero.
-        df.select(F.col(key).cast("string").alias("k"), F.transform(F.col(vector), lambda x: (x + F.lit(0.0)).cast("float")).alias("v"))
-        .where(F.col("k").isNotNull() & (F.size(v) == size) & finite & F.exists(v, lambda x: x != 0))
-        .withColumn("d", direction)
-        .select("k", "v", F.xxhash64("d").alias("h1"), F.xxhash64(F.lit(size), "d", F.lit(1)).alias("h2"))
-    )
+    marked = known.withColumn("d", direction).select("k", "v", F.xxhash64("d").alias("h1"), F.xxhash64(F.lit(size), "d").alias("h2"))
+    place = F.dense_rank().over(Window.partitionBy("h1", "h2").orderBy("k"))
+    copy = F.row_number().over(Window.partitionBy("h1", "h2", "k").orderBy(F.lit(1)))
+    return marked.withColumn("lugar", place).where(F.col("lugar") <= k).withColumn("copia", copy).where("copia = 1").select("k", "v")
 
 
-def _classes(vectors: DataFrame) -> DataFrame:
-    """One row for each direction with its smallest key; copies, scaled ones too, are dropped before they travel."""
-    return vectors.groupBy("h1", "h2").agg(F.first("v").alias("v"), F.min("k").alias("k"))
+def _unit(v: np.ndarray) -> np.ndarray:
+    x = v.astype(np.float64)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _hashed(classes: DataFrame, forest: Forest, size: int) -> DataFrame:
-    """The hash string of every vector in every tree."""
+class Index:
+    """The forest of one shard: unit vectors in order of key, and for each tree the sorted strings and whose they are."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def __init__(self, keys: np.ndarray, vectors: np.ndarray, forest: Forest):
+        order = np.argsort(keys, kind="stable")
+        self.forest, self.keys, self.raw = forest, keys[order], vectors[order]
+        self.unit = _unit(self.raw).astype(np.float32)
         rng = np.random.default_rng(forest.seed)
-        planes = rng.standard_normal((size, forest.trees * forest.bits)).astype(np.float32)
-        powers = np.int64(1) << np.arange(forest.bits - 1, -1, -1, dtype=np.int64)
-        for batch in batches:
-            for at in range(0, len(batch), 2000):
-                part = batch.iloc[at : at + 2000]
-                x = np.stack(part["v"].to_numpy())
-                signs = (x @ planes > 0).reshape(len(part), forest.trees, forest.bits)
-                codes = signs.astype(np.int64) @ powers
-                yield pd.DataFrame(
-                    {
-                        "tree": np.tile(np.arange(forest.trees, dtype=np.int32), len(part)),
-                        "code": codes.ravel(),
-                        **{c: np.repeat(part[c].to_numpy(), forest.trees) for c in ("kind", "h1", "h2")},
-                    }
-                )
-
-    return classes.mapInPandas(run, "tree int, code bigint, kind int, h1 bigint, h2 bigint")
-
-
-def _placed(hashed: DataFrame) -> DataFrame:
-    """Every row with its place ``rank``: the number of base vectors before it in its tree's sorted array.
-
-    Equal strings stand in an order of the tree's own, queries among base vectors.
-    """
-    order = ["tree", "code", "mezcla", "kind", "h1", "h2"]
+        self.planes = rng.standard_normal((vectors.shape[1], forest.trees * forest.bits)).astype(np.float32)
+        codes = self._codes(self.unit)
+        self.places = [np.argsort(c, kind="stable") for c in codes]
+        self.codes = [c[p] for c, p in zip(codes, self.places)]
+
+    def _codes(self, x: np.ndarray) -> np.ndarray:
+        """Hash strings as numbers, a row a tree."""
+        f = self.forest
+        powers = np.int64(1) << np.arange(f.bits - 1, -1, -1, dtype=np.int64)
+        out = np.empty((f.trees, len(x)), np.int64)
+        for at in range(0, len(x), 4096):
+            signs = (x[at : at + 4096] @ self.planes > 0).reshape(-1, f.trees, f.bits)
+            out[:, at : at + 4096] = (signs.astype(np.int64) @ powers).T
+        return out
+
+    def _stretch(self, tree: int, codes: np.ndarray, depth: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the base strings stand that share a prefix of ``depth`` bits with each string."""
+        low = self.forest.bits - depth
+        prefix = codes >> low
+        held = self.codes[tree]
+        return np.searchsorted(held, prefix << low), np.searchsorted(held, ((prefix + 1) << low) - 1, side="right")
+
+    def _longest(self, tree: int, codes: np.ndarray) -> np.ndarray:
+        """Bits of the longest prefix shared with any base string: that of a neighbour in the sorted array."""
+        held, at = self.codes[tree], np.searchsorted(self.codes[tree], codes)
+        apart = np.minimum(codes ^ held[np.maximum(at - 1, 0)], codes ^ held[np.minimum(at, len(held) - 1)])
+        # The exponent of a number is the place of its first bit; beyond 53 bits rounding may add one.
+        width = np.frexp(apart.astype(np.float64))[1].astype(np.int64)
+        width -= (apart >> np.maximum(width - 1, 0) == 0) & (width > 0)
+        return self.forest.bits - width
+
+    def _depths(self, codes: np.ndarray) -> np.ndarray:
+        """The level of each query at which its trees together hold ``least`` base vectors: the deepest such one.
+
+        It lies between the longest prefix of any tree and the root, where all trees hold
+        all vectors; what a level holds shrinks as it gets deeper, so it is found by halving.
+        """
+        f = self.forest
+        high = np.max([self._longest(t, codes[t]) for t in range(f.trees)], axis=0)
+        low = np.zeros_like(high)
+        while (open_ := low < high).any():
+            middle = (low + high + 1) // 2
+            held = np.zeros(len(high), np.int64)
+            for t in range(f.trees):
+                a, b = self._stretch(t, codes[t], middle)
+                held += b - a
+            enough = held >= f.least
+            low, high = np.where(open_ & enough, middle, low), np.where(open_ & ~enough, middle - 1, high)
+        return low
+
+    def _exact(self, exact: np.ndarray, among: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Row and column of the k closest of some base vectors by cosine to nine decimals, then by key."""
+        n = len(self.keys)
+        # Cosine and base number in one number: the larger, the sooner.
+        rank = np.rint((exact @ _unit(self.raw[among]).T + 1) * 1e9).astype(np.int64) * n + (n - 1 - among)
+        best = np.argpartition(-rank, k - 1, axis=1)[:, :k]
+        return np.repeat(np.arange(len(exact)), k), best.ravel()
+
+    def _candidates(self, exact: np.ndarray, unit: np.ndarray, codes: np.ndarray, k: int, margin: np.float32) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Query, base vector and single-precision cosine of the best of each tree; all of a tree's that may tie with the k-th."""
+        depth, out = self._depths(codes), []
+        for t in range(self.forest.trees):
+            a, b = self._stretch(t, codes[t], depth)
+            order = np.lexsort((b, a))
+            starts = np.flatnonzero(np.r_[True, (np.diff(a[order]) != 0) | (np.diff(b[order]) != 0)])
+            vectors, place = self.unit[self.places[t]], self.places[t]
+            # Queries of one stretch are compared with it together.
+            for s, e in zip(starts, np.r_[starts[1:], len(order)]):
+                lo, hi = a[order[s]], b[order[s]]
+                if lo == hi:
+                    continue
+                step = max(1, 8_000_000 // (hi - lo))
+                for at in range(s, e, step):
+                    asked = order[at : min(e, at + step)]
+                    near = unit[asked] @ vectors[lo:hi].T
+                    if hi - lo <= k:
+                        row, col = (x.ravel() for x in np.indices(near.shape))
+                    else:
+                        kth = np.partition(near, hi - lo - k, axis=1)[:, hi - lo - k, None]
+                        row, col = np.nonzero(near >= kth - margin)
+                        if len(row) > 16 * k * len(asked):
+                            # Near copies in number: the exact order decides at once.
+                            row, col = self._exact(exact[asked], place[lo:hi], k)
+                    out.append((asked[row], place[lo + col], near[row, col]))
+        if not out:
+            return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.float32)
+        return tuple(np.concatenate(x) for x in zip(*out))
+
+    def search(self, vectors: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Query number, base number and cosine (to nine decimals) of the k closest; equal cosines in order of the base key."""
+        exact = _unit(vectors)
+        unit = exact.astype(np.float32)
+        # What single precision may misjudge between two dot products, and what rounding may level.
+        margin = np.float32(2 * (unit.shape[1] + 4) * 2.0**-24 + 2e-9)
+        q, b, near = self._candidates(exact, unit, self._codes(unit), k, margin)
+        pair, first = np.unique(q * np.int64(len(self.keys)) + b, return_index=True)
+        q, b, near = q[first], b[first], near[first]
+        order = np.lexsort((-near, q))
+        q, b, near = q[order], b[order], near[order]
+        start = np.searchsorted(q, q)
+        kth = np.minimum(start + k - 1, np.searchsorted(q, q, side="right") - 1)
+        kept = near >= near[kth] - margin
+        q, b = q[kept], b[kept]
+        cos = np.empty(len(q))
+        for at in range(0, len(q), 65_536):
+            j = slice(at, at + 65_536)
+            cos[j] = np.round((exact[q[j]] * _unit(self.raw[b[j]])).sum(-1), 9)
+        # Base vectors stand in order of key, so that the lower number settles a tie.
+        order = np.lexsort((b, -cos, q))
+        q, b, cos = q[order], b[order], cos[order]
+        best = np.arange(len(q)) - np.searchsorted(q, q) < k
+        return q[best], b[best], cos[best]
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        part, met = TaskContext.get().partitionId(), {}
-        for batch in batches:
-            base = batch["kind"].eq(0).astype("int64")
-            running = base.groupby(batch["tree"]).cumsum()
-            before = batch["tree"].map(met).fillna(0).astype("int64")
-            yield batch[["tree", "code", "kind", "h1", "h2"]].assign(parte=np.int32(part), b=before + running - base)
-            for tree, n in base.groupby(batch["tree"]).sum().items():
-                met[tree] = met.get(tree, 0) + int(n)
-
-    mixed = hashed.withColumn("mezcla", F.xxhash64("tree", "kind", "h1", "h2"))
-    sorted_arrays = mixed.repartitionByRange(*order).sortWithinPartitions(*order)
-    # Written once: the places must stay the same when a lost part is read again.
-    counted = cut_lineage(sorted_arrays.mapInPandas(count, "tree int, code bigint, kind int, h1 bigint, h2 bigint, parte int, b bigint"))
-    parts = counted.groupBy("tree", "parte").agg(F.count_if(F.col("kind") == 0).alias("m"))
-    before = Window.partitionBy("tree").orderBy("parte").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = parts.select("tree", "parte", F.coalesce(F.sum("m").over(before), F.lit(0)).alias("antes"))
-    return counted.join(offsets, ["tree", "parte"]).select("tree", "code", "kind", "h1", "h2", (F.col("b") + F.col("antes")).alias("rank"))
-
-
-def _stretches(placed: DataFrame, forest: Forest, n_base: int) -> DataFrame:
-    """Queries with their own tile and the stretch ``lo`` to ``hi`` (exclusive) of base places each is compared with."""
-    tile, reach, rank = forest.tile, forest.reach, F.col("rank")
-    queries = placed.where("kind = 1").withColumn("own", F.floor(F.least("rank", F.lit(n_base - 1)) / tile))
-    long = placed.where("kind = 0").groupBy("tree", "code").agg(F.min("rank").alias("s"), F.count("*").alias("n")).where(F.col("n") > reach)
-    e = F.col("s") + F.col("n")
-    tiles = F.sequence(F.floor(F.greatest(F.col("s") - reach, F.lit(0)) / tile), F.floor((e - 1 + reach) / tile))
-    # A tile meets few of them, as each is longer than the reach.
-    met = long.select("tree", F.explode(tiles).alias("own"), F.struct("s", e.alias("e")).alias("run")).groupBy("tree", "own").agg(F.collect_list("run").alias("runs"))
-    touched = F.filter("runs", lambda r: (r["s"] < rank + reach) & (r["e"] > rank - reach))
-    lo = F.least(rank - reach, F.array_min(F.transform(touched, lambda r: r["s"])))
-    hi = F.greatest(rank + reach, F.array_max(F.transform(touched, lambda r: r["e"])))
-    return queries.join(met, ["tree", "own"], "left").select("tree", "own", "kind", "h1", "h2", "rank", lo.alias("lo"), hi.alias("hi"))
-
-
-def _tiled(placed: DataFrame, forest: Forest, n_base: int) -> DataFrame:
-    """Rows with the tiles they take part in; a tile with many queries is repeated for blocks of them."""
-    tile, reach = forest.tile, forest.reach
-    # Neighbouring tiles hold each other's edges; a stretch beyond the reach goes to all tiles that it meets.
-    first = F.when(F.col("lo") < F.col("rank") - reach, F.floor(F.col("lo") / tile)).otherwise(F.col("own"))
-    last = F.when(F.col("hi") > F.col("rank") + reach, F.floor((F.col("hi") - 1) / tile)).otherwise(F.col("own"))
-    queries = _stretches(placed, forest, n_base).withColumn("tile", F.explode(F.sequence(first, last)))
-    loads = queries.groupBy("tree", "tile").agg(F.ceil(F.count("*") / forest.block).alias("salts"))
-    own = F.floor(F.col("rank") / tile)
-    base = placed.where("kind = 0").withColumn(
-        "tile",
-        F.explode(
-            F.array_compact(
-                F.array(
-                    own,
-                    F.when(F.col("rank") - own * tile < reach, own - 1),
-                    F.when((own + 1) * tile - F.col("rank") <= reach, own + 1),
-                )
-            )
-        ),
-    )
-    each = base.join(loads, ["tree", "tile"]).withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)))
-    one = queries.join(loads, ["tree", "tile"]).withColumn("salt", F.pmod("h2", F.col("salts")))
-    columns = ["tree", "tile", "salt", "kind", "h1", "h2", "lo", "hi"]
-    places = {"lo": F.col("rank"), "hi": F.col("rank") + 1}
-    return each.withColumns(places).select(columns).unionByName(one.select(columns))
-
-
-def _compare(tiles: DataFrame, k: int) -> DataFrame:
-    """The k closest base vectors of each query within its stretch, tile by tile, with exact cosines.
-
-    Equal cosines stand in order of the class's smallest key ``b``. Of the classes that
-    tie with the k-th, those left out have k keys before all of theirs.
-    """
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        columns = ["q1", "q2", "b1", "b2", "b", "cos"]
-        # In order of key, so that a lower index settles a tie.
-        base, asked = group[group["kind"] == 0].sort_values("k"), group[group["kind"] == 1]
-        if base.empty or asked.empty:
-            return pd.DataFrame(columns=columns)
-        b = np.stack(base["v"].to_numpy()).astype(np.float64)
-        b /= np.linalg.norm(b, axis=1, keepdims=True)
-        ranks, b32, ids, keys = base["lo"].to_numpy(), b.astype(np.float32), base[["h1", "h2"]].to_numpy(), base["k"].to_numpy()
-        # What single precision may misjudge between two dot products, and what rounding may level.
-        margin = np.float32(2 * (b.shape[1] + 4) * 2.0**-24 + 2e-9)
-        out = []
-        for at in range(0, len(asked), 512):
-            part = asked.iloc[at : at + 512]
-            q = np.stack(part["v"].to_numpy()).astype(np.float64)
-            q /= np.linalg.norm(q, axis=1, keepdims=True)
-            lo, hi = part["lo"].to_numpy()[:, None], part["hi"].to_numpy()[:, None]
-            near = np.where((ranks >= lo) & (ranks < hi), q.astype(np.float32) @ b32.T, np.float32(-2))
-            m = min(k, near.shape[1])
-            least = -np.partition(-near, m - 1, axis=1)[:, m - 1, None]
-            row, col = np.divmod(np.flatnonzero(near >= np.maximum(least - margin, np.float32(-1.5))), near.shape[1])
-            cos = np.empty(len(row))
-            for i in range(0, len(row), 65_536):
-                j = slice(i, i + 65_536)
-                cos[j] = np.round((q[row[j]] * b[col[j]]).sum(-1), 9)
-            order = np.lexsort((col, -cos, row))
-            row, col, cos = row[order], col[order], cos[order]
-            first = np.arange(len(row)) - np.searchsorted(row, row) < k
-            row, col, cos = row[first], col[first], cos[first]
-            of, to = part[["h1", "h2"]].to_numpy()[row], ids[col]
-            out.append(pd.DataFrame({"q1": of[:, 0], "q2": of[:, 1], "b1": to[:, 0], "b2": to[:, 1], "b": keys[col], "cos": cos}))
-        return pd.concat(out, ignore_index=True)
-
-    return tiles.groupBy("tree", "tile", "salt").applyInPandas(run, "q1 bigint, q2 bigint, b1 bigint, b2 bigint, b string, cos double")
+def _matrix(column: pa.ChunkedArray, size: int) -> np.ndarray:
+    values = [np.asarray(c.flatten()) for c in column.chunks] or [np.empty(0, np.float32)]
+    return np.concatenate(values).astype(np.float32, copy=False).reshape(-1, size)
+
+
+_SCHEMA = pa.schema([("q", pa.string()), ("b", pa.string()), ("cos", pa.float64()), ("lugar", pa.int32())])
+
+
+def _answer(index: Index, keys: np.ndarray, vectors: np.ndarray, k: int) -> pa.Table:
+    q, b, cos = index.search(vectors, k)
+    place = (np.arange(len(q)) - np.searchsorted(q, q) + 1).astype(np.int32)
+    return pa.table([pa.array(keys[q], pa.string()), pa.array(index.keys[b], pa.string()), pa.array(cos), pa.array(place)], schema=_SCHEMA)
+
+
+def _keys(column: pa.ChunkedArray) -> np.ndarray:
+    return column.to_numpy(zero_copy_only=False).astype(object)
+
+
+def _search_sent(asked: DataFrame, known: DataFrame, size: int, k: int, forest: Forest) -> DataFrame:
+    """Every task holds the whole base, which is of a checked size, and answers the queries that it reads."""
+    held = known.toArrow()
+    shared = asked.sparkSession.sparkContext.broadcast((_keys(held["k"]), _matrix(held["v"], size)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index, waiting, rows = None, [], 0
+        if not len(shared.value[0]):
+            return
+
+        def out() -> Iterator[pa.RecordBatch]:
+            block = pa.Table.from_batches(waiting)
+            yield from _answer(index, _keys(block["k"]), _matrix(block["v"], size), k).to_batches(max_chunksize=100_000)
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            index = index or Index(*shared.value, forest)
+            waiting.append(batch)
+            rows += batch.num_rows
+            if rows >= forest.block // 4:
+                yield from out()
+                waiting, rows = [], 0
+        if waiting:
+            yield from out()
+
+    return asked.mapInArrow(run, "q string, b string, cos double, lugar int")
+
+
+def _search_shards(asked: DataFrame, known: DataFrame, shards: int, blocks: int, size: int, k: int, forest: Forest) -> DataFrame:
+    """Every block of queries meets every shard; the best of all shards are chosen afterwards."""
+    spread = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = known.withColumn("parte", F.pmod(F.xxhash64("k"), F.lit(shards)).cast("int")).withColumn("bloque", spread(blocks))
+    # By key and vector: a key that many rows repeat still spreads.
+    right = asked.withColumn("bloque", F.pmod(F.xxhash64("k", "v", F.monotonically_increasing_id()), F.lit(blocks)).cast("int")).withColumn("parte", spread(shards))
+
+    def run(base: pa.Table, queries: pa.Table) -> pa.Table:
+        if not base.num_rows or not queries.num_rows:
+            return _SCHEMA.empty_table()
+        index = Index(_keys(base["k"]), _matrix(base["v"], size), forest)
+        keys, vectors, step = _keys(queries["k"]), _matrix(queries["v"], size), forest.block // 4
+        return pa.concat_tables([_answer(index, keys[at : at + step], vectors[at : at + step], k) for at in range(0, len(keys), step)])
+
+    found = left.groupBy("parte", "bloque").cogroup(right.groupBy("parte", "bloque")).applyInArrow(run, "q string, b string, cos double, lugar int")
+    return found.drop("lugar")
 
 
 def _top(pairs: DataFrame, by: list[str], order: list[Column], k: int) -> DataFrame:
@@ -213,6 +276,27 @@ def _top(pairs: DataFrame, by: list[str], order: list[Column], k: int) -> DataFr
     return pairs.withColumn("lugar", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col("lugar") <= k)
 
 
+def write_index(base: DataFrame, key: str, vector: str, size: int, k: int, path: str) -> None:
+    """Stores what the index is built from, so that later searches need no look at the base: ``k, v``.
+
+    ``nearest`` takes the stored table as its base (key ``k``, vector ``v``).
+    """
+    indexed_vectors(base, key, vector, size, k).write.mode("overwrite").parquet(path)
+
+
+def index_health(base: DataFrame, key: str, vector: str, size: int, k: int, stored: DataFrame) -> DataFrame:
+    """How a stored index fits the base as it is now, one row: ``vigentes, faltan, sobran, cobertura``.
+
+    Vectors that stand in both unchanged, those that the index lacks or holds in another state,
+    those of the index that the base no longer has so; the share of the base that is up to date (null for an empty base).
+    """
+    now = indexed_vectors(base, key, vector, size, k).select("k", F.xxhash64("v").alias("h"), F.lit(True).alias("hay"))
+    held = stored.select("k", F.xxhash64("v").alias("h"), F.lit(True).alias("guardado"))
+    both = now.join(held, ["k", "h"], "full")
+    counted = both.agg(F.count_if(F.col("hay") & F.col("guardado")).alias("vigentes"), F.count_if(F.col("hay") & F.col("guardado").isNull()).alias("faltan"), F.count_if(F.col("hay").isNull()).alias("sobran"))
+    return counted.withColumn("cobertura", F.try_divide(F.col("vigentes").cast("double"), F.col("vigentes") + F.col("faltan")))
+
+
 def nearest(
     queries: DataFrame,
     query_key: str,
@@ -229,26 +313,24 @@ def nearest(
     Result: ``query_key, base_key`` (as text), ``cos`` and ``lugar`` (1 to k); equal
     cosines stand in order of the base key. Unusable vectors neither have nor are
     neighbours (see ``usable_vectors``); fewer than k usable base vectors give
-    fewer rows, none give none. Repeated keys with equal vectors count once.
+    fewer rows, none give none. Repeated query rows with equal vectors count once; one key
+    with several vectors has the best over all of them.
     Candidates come from the forest, their cosines are exact; a neighbour is missed
-    only if in every tree it lies beyond ``reach`` and in no run of one hash string
-    that is longer than ``reach`` and touched by it.
-
-    Vectors of one direction are one: of the base copies the k smallest keys matter, found
-    before anything is shuffled by vector, and query copies share one search.
+    only if in every tree of its shard it leaves the query's prefix before the
+    level at which the trees hold ``least`` vectors.
     """
     asked = usable_vectors(queries, query_key, query_vector, size)
-    known = usable_vectors(base, base_key, base_vector, size)
-    members = _top(known.select("k", "h1", "h2").distinct(), ["h1", "h2"], [F.col("k")], k).select(F.col("h1").alias("b1"), F.col("h2").alias("b2"), F.col("k").alias("b"))
-    classes = cut_lineage(_classes(known).withColumn("kind", F.lit(0)).unionByName(_classes(asked).withColumn("kind", F.lit(1))))
-    n_base = classes.where("kind = 0").count()
-    if not n_base:
-        kind = "`{}` string, `{}` string, cos double, lugar int".format(query_key, base_key)
-        return queries.sparkSession.createDataFrame([], kind)
-    tiles = _tiled(_placed(_hashed(classes, forest, size)), forest, n_base).join(classes, ["kind", "h1", "h2"])
-    pairs = _compare(tiles, k).distinct()
-    close = _top(pairs, ["q1", "q2"], [F.desc("cos"), F.col("b")], k)
-    named = close.drop("lugar", "b").join(members, ["b1", "b2"])
-    best = _top(named, ["q1", "q2"], [F.desc("cos"), F.col("b")], k)
-    found = best.join(asked.select(F.col("h1").alias("q1"), F.col("h2").alias("q2"), "k").distinct(), ["q1", "q2"])
-    return found.select(F.col("k").alias(query_key), F.col("b").alias(base_key), "cos", "lugar")
+    known = indexed_vectors(base, base_key, base_vector, size, k)
+    rows = base.count()
+    if rows <= forest.sent:
+        found = _search_sent(asked, known, size, k, forest)
+    else:
+        blocks = max(1, -(-queries.count() // forest.block))
+        shards = -(-rows // forest.shard)
+        # At least a task a core, where fewer would do for memory.
+        blocks = max(blocks, math.ceil(queries.sparkSession.sparkContext.defaultParallelism / shards))
+        found = _search_shards(asked, known, shards, blocks, size, k, forest)
+    # One row a pair, then the best of all shards and of all rows of a key.
+    pairs = found.groupBy("q", "b").agg(F.max("cos").alias("cos"))
+    best = _top(pairs, ["q"], [F.desc("cos"), F.col("b")], k)
+    return best.select(F.col("q").alias(query_key), F.col("b").alias(base_key), "cos", "lugar")

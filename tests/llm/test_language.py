@@ -122,13 +122,14 @@ def _vectors(n, seed):
     return (centres[rng.integers(0, 60, n)] + rng.normal(0, 0.35, (n, 16))).astype(np.float32)
 
 
-def test_recall_on_small_tiles(spark):
-    """Tiles and blocks far smaller than the data: halos, offsets and salts all take part."""
+@pytest.mark.parametrize("rules", [forest.Forest(trees=10, least=640), forest.Forest(trees=10, least=320, sent=0, shard=500, block=64)])
+def test_recall(spark, rules):
+    """The whole base sent to the tasks, and shards and blocks far smaller than the data."""
     base, asked = _vectors(3000, 1), _vectors(400, 2)
     left = spark.createDataFrame([(f"q{i:04}", v.tolist()) for i, v in enumerate(asked)], "q string, v array<float>")
     right = spark.createDataFrame([(f"b{i:04}", v.tolist()) for i, v in enumerate(base)], "b string, v array<float>")
     got = collections.defaultdict(set)
-    for r in forest.nearest(left, "q", "v", right, "b", "v", 16, 5, forest.Forest(trees=10, reach=64, tile=128, block=16)).collect():
+    for r in forest.nearest(left, "q", "v", right, "b", "v", 16, 5, rules).collect():
         got[r.q].add(r.b)
     unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
     top = np.argsort(-(unit(asked) @ unit(base).T), axis=1)[:, :5]
@@ -136,7 +137,7 @@ def test_recall_on_small_tiles(spark):
     assert hits / top.size >= 0.95 and all(len(g) == 5 for g in got.values()) and len(got) == 400
 
 
-def test_runs_longer_than_the_reach_are_searched_whole(spark):
+def test_runs_of_one_string_are_searched_whole(spark):
     """A third of the base is one direction in many norms with little noise: most of it shares whole hash strings."""
     rng = np.random.default_rng(5)
     base, centre = rng.normal(size=(1500, 16)), rng.normal(size=16)
@@ -146,8 +147,8 @@ def test_runs_longer_than_the_reach_are_searched_whole(spark):
     right = spark.createDataFrame([(f"b{i:04}", v.tolist()) for i, v in enumerate(base)], "b string, v array<float>")
     cos = (lambda a, b: a @ b.T / np.linalg.norm(a, axis=1)[:, None] / np.linalg.norm(b, axis=1))(asked.astype(np.float64), base.astype(np.float64))
     want = {(f"q{i:04}", f"b{j:04}") for i, row in enumerate(np.round(cos, 9)) for j in np.lexsort((np.arange(1500), -row))[:5]}
-    for tile, block in ((64, 16), (2048, 4096)):
-        found = forest.nearest(left, "q", "v", right, "b", "v", 16, 5, forest.Forest(trees=4, reach=32, tile=tile, block=block))
+    for rules in (forest.Forest(trees=4, least=64), forest.Forest(trees=4, least=64, sent=0, shard=400, block=16)):
+        found = forest.nearest(left, "q", "v", right, "b", "v", 16, 5, rules)
         got = {(r.q, r.b) for r in found.collect()}
         assert len(got) == len(want) and len(got & want) / len(want) >= 0.99
 
@@ -160,13 +161,42 @@ def test_ties_of_different_vectors_go_by_key(spark):
     near += [(f"m{i:03}", [1.0, 1e-6 * i, 5.0]) for i in rng.permutation(np.arange(60)).tolist()]
     right = spark.createDataFrame(scaled + near + [("z", [1.0, 1.0, 1.0])], "b string, v array<float>")
     left = spark.createDataFrame([("q1", [3.0, 4.0, 0.0]), ("q2", [1.0, 0.0, 5.0])], "q string, v array<float>")
-    for tile in (16, 2048):
-        found = forest.nearest(left, "q", "v", right, "b", "v", 3, 5, forest.Forest(trees=4, reach=16, tile=tile, block=8)).collect()
+    for rules in (forest.Forest(trees=4, least=64), forest.Forest(trees=4, least=64, sent=0, shard=40, block=8)):
+        found = forest.nearest(left, "q", "v", right, "b", "v", 3, 5, rules).collect()
         got = {q: [r.b for r in sorted(found, key=lambda r: r.lugar) if r.q == q] for q in ("q1", "q2")}
         assert got["q1"] == [f"s{i:03}" for i in range(1, 6)]
         assert got["q2"] == [f"m{i:03}" for i in range(5)]
 
 
+def test_levels_are_the_deepest_that_hold_enough():
+    """Descent and ascent against prefixes compared one by one."""
+    rng = np.random.default_rng(4)
+    base, asked = rng.normal(size=(300, 8)).astype(np.float32), rng.normal(size=(40, 8)).astype(np.float32)
+    asked[:5] = base[:5]
+    rules = forest.Forest(trees=3, bits=62, least=25)
+    index = forest.Index(np.array([f"{i:03}" for i in range(300)], object), base, rules)
+    codes, own = index._codes(forest._unit(asked).astype(np.float32)), index._codes(index.unit)
+    shared = lambda a, b: 62 - int(a ^ b).bit_length()
+    for i, depth in enumerate(index._depths(codes)):
+        held = lambda d: sum(shared(codes[t][i], c) >= d for t in range(3) for c in own[t])
+        assert held(depth) >= 25 and (depth == 62 or held(depth + 1) < 25)
+    for t in range(3):
+        assert index._longest(t, codes[t]).tolist() == [max(shared(c, b) for b in own[t]) for c in codes[t]]
+
+
+def test_stored_index_and_its_health(spark, tmp_path):
+    rows = [(f"b{i}", [float(i), 1.0, 0.0]) for i in range(8)] + [("n", None)]
+    base = spark.createDataFrame(rows, "b string, v array<float>")
+    forest.write_index(base, "b", "v", 3, 5, str(tmp_path / "i"))
+    health = lambda df: forest.index_health(df, "b", "v", 3, 5, spark.read.parquet(str(tmp_path / "i"))).first().asDict()
+    assert health(base) == {"vigentes": 8, "faltan": 0, "sobran": 0, "cobertura": 1.0}
+    changed = base.where("b <> 'b0'").unionByName(spark.createDataFrame([("b9", [0.0, 0.0, 1.0])], base.schema))
+    assert health(changed) == {"vigentes": 7, "faltan": 1, "sobran": 1, "cobertura": 0.875}
+    left = spark.createDataFrame([("q", [1.0, 1.0, 0.0])], "q string, v array<float>")
+    found = forest.nearest(left, "q", "v", spark.read.parquet(str(tmp_path / "i")), "k", "v", 3, 1)
+    assert [tuple(r)[:2] for r in found.collect()] == [("q", "b1")]
+
+
 def test_unusable_vectors_copies_and_ties(spark):
     nan, inf = float("nan"), float("inf")
     left = [("q1", [1.0, 0.0]), ("q2", [1.0, 0.0]), ("q3", None), ("q4", [0.0, 0.0]), ("q5", [1.0]), ("q6", [nan, 1.0]), ("q7", [inf, 1.0]), ("q8", [None, 1.0]), (None, [1.0, 1.0]), ("q1", [1.0, 0.0])]
