@@ -1,6 +1,8 @@
 """Operators of the llm subpackage: exactness, recall, capacity, accuracy and edge cases."""
 
 import collections
+import re
+import unicodedata
 
 import numpy as np
 import pytest
@@ -358,6 +360,49 @@ def test_few_labels_calibrate_too():
     assert tuple(topics._calibrate(share[:0], share[:0], told[:0])) == start and tuple(topics._calibrate(share, share, told | True)) == start
 
 
-def test_sentences_mend_damage():
-    assert topics.sentences("AtendiÃ³ bien. revi👩‍⚕️sado<br/>r <p>Hola</p> cabe000llo\\n.") == [["atendio", "bien"], ["revisador", "hola", "cabello"]]
-    assert topics.sentences("  . ! 12") == []
+def _plain_sentences(text):
+    """Words of each sentence, character by character: what ``read_texts`` does in arrays."""
+    text = topics.bare_text(text)
+    text = "".join(c for c in unicodedata.normalize("NFD", text.lower()) if not unicodedata.combining(c))
+    text = re.sub(r"(?<=[^\W\d])\d+(?=[^\W\d])", "", re.sub(r"[^\w\s.!?]|_", "", text))
+    return [words for part in re.split(r"[.!?]+(?=\s|$)", text) if (words := re.findall(r"[^\W\d_]{2,}", part))]
+
+
+def _shape(words):
+    return len(dict.fromkeys(words)) + len(set(zip(words, words[1:])))
+
+
+def test_texts_are_read_as_by_plain_means():
+    texts = [
+        "AtendiÃ³ bien. revi👩‍⚕️sado<br/>r <p>Hola</p> cabe000llo\\n.", "  . ! 12", "", "Uno dos. Uno dos uno! tres?? cuatro...cinco a b", "x" * 3000 + " fin", "ÑANDÚ niño. \u0000 tab\tlado\u00a0otro", "mg20 20mg a1b2c3 1a", "sin_guion &amp; más &lt;b&gt;",
+        *[row[1] for row in _documents(40, 6)[0]],
+    ]
+    read = topics.read_texts(texts, 1 << 30)
+    want = [_plain_sentences(t) for t in texts]
+    assert want[0] == [["atendio", "bien"], ["revisador", "hola", "cabello"]]
+    assert read.sentences.tolist() == [len(s) for s in want]
+    assert read.lengths.tolist() == [_shape(words) for s in want for words in s]
+    # The same words have the same features wherever they stand; other words others.
+    one, two = topics.read_texts(["Hola mundo."], 1 << 30), topics.read_texts(["algo. HOLA mundo! x", "mundo hola"], 1 << 30)
+    assert set(one.features) == set(two.features[1:4]) != set(two.features[4:])
+    none = topics.read_texts([], 1 << 18)
+    assert len(none.features) == len(none.sentences) == 0
+
+
+def test_chunks_and_joined_labels_change_nothing(spark):
+    rows, truth = _documents(200, 5)
+    labels = spark.createDataFrame([(i, s) for i in range(100) for s in (truth[i] or {None})], "doc long, tema string")
+    docs, subjects = spark.createDataFrame(rows, "doc long, t string"), spark.createDataFrame([(s, f"Tema de {s}") for s in _WORDS], "tema string, nombre string")
+    run = lambda **more: {(r.doc, r.tema) for r in topics.assign_topics(docs, "doc", "t", labels, "tema", subjects, topics.TopicRules(features=1 << 14, **more)).collect()}
+    assert run() == run(chunk=500) == run(sent=10)
+
+
+def test_slips_of_annotators_do_not_move_the_threshold():
+    rng = np.random.default_rng(2)
+    share = np.r_[rng.uniform(0, 0.05, 1000), rng.uniform(0.3, 0.5, 300)]
+    told = share > 0.2
+    told[rng.choice(np.flatnonzero(told), 60, replace=False)] = False
+    told[rng.choice(np.flatnonzero(share < 0.1), 20, replace=False)] = True
+    w = topics._calibrate(share, np.ones(1300), told)
+    at = lambda s: 1 / (1 + np.exp(-topics._evidence(np.array([s]), np.array([1.0])) @ w))[0]
+    assert at(0.05) < 0.1 and at(0.32) > 0.6
