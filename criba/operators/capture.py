@@ -17,48 +17,44 @@ from criba.functions.text import column_name, fold_accents, is_blank, squeeze, s
 
 CANONICAL = ("sku", "url_producto", "producto", "precio_actual", "precio_oferta", "url_imagen", "fecha_captura", "tienda")
 
-# Known names of the canonical columns, in normal form.
+# Names under which the canonical columns are known, in normal form.
 KNOWN_NAMES = {
-    "sku": ("sku", "cod_art", "clave"),
-    "url_producto": ("url_producto", "enlace", "liga_producto"),
-    "producto": ("producto", "nombre", "articulo"),
-    "precio_actual": ("precio_actual", "precio_normal", "precio_regular", "precio", "precio_lista"),
-    "precio_oferta": ("precio_oferta", "precio_promo", "rebaja"),
-    "url_imagen": ("url_imagen", "imagen", "foto_url"),
-    "fecha_captura": ("fecha_captura", "fecha", "fecha_hora_captura", "fecha_registro", "capturado_en"),
-    "tienda": ("tienda", "sucursal", "cadena"),
+    "sku": ("sku",),
+    "url_producto": ("url_producto",),
+    "producto": ("producto",),
+    "precio_actual": ("precio_actual", "precio_normal"),
+    "precio_oferta": ("precio_oferta",),
+    "url_imagen": ("url_imagen",),
+    "fecha_captura": ("fecha_captura", "fecha_hora_captura", "fecha"),
+    "tienda": ("tienda",),
 }
 
-# Names of columns that are none of the canonical ones.
-OTHER_NAMES = ("ndf", "ean", "marca", "vendedor", "existencias", "codigo_postal", "promocion")
-
 
 def role_by_name(name: Column) -> Column:
-    """Canonical column that a normal-form name stands for, ``otra`` for known others, else null."""
-    role = F.when(name.isin(*OTHER_NAMES), "otra")
+    """Canonical column that a normal-form name is known for, else null."""
+    role = F.lit(None).cast("string")
     for canonical, names in KNOWN_NAMES.items():
-        role = role.when(name.isin(*names), canonical)
+        role = F.when(name.isin(*names), canonical).otherwise(role)
     return role
 
 
 def declared_columns(files: DataFrame) -> DataFrame:
-    """``files`` with ``nombres``: the normal-form column names of each file, in order.
+    """``files`` with ``nombres`` and ``descartes``: the normal-form column names of each file, in order, and those declared dropped.
 
     They come from the first line, or from ``columnas`` where the file has no
     header. A file without either has an empty array.
     """
     header = F.when(~F.coalesce("sin_header", F.lit(False)) & ~is_blank("primera_linea"), csvline.cells("primera_linea"))
-    names = F.coalesce(header, F.col("columnas"), F.array().cast("array<string>"))
-    return files.withColumn("nombres", F.transform(names, lambda n: F.coalesce(column_name(n), F.lit(""))))
+    plain = lambda names: F.transform(F.coalesce(*names, F.array().cast("array<string>")), lambda n: F.coalesce(column_name(n), F.lit("")))
+    dropped = F.col("columnas_descartar") if "columnas_descartar" in files.columns else F.lit(None).cast("array<string>")
+    return files.withColumn("nombres", plain([header, F.col("columnas")])).withColumn("descartes", plain([dropped]))
 
 
-def raw_records(lines: DataFrame, files: DataFrame) -> DataFrame:
-    """Data lines of files not loaded yet with their cells and their file's columns.
+def file_layouts(lines: DataFrame, files: DataFrame) -> DataFrame:
+    """One row a file that has a header line or is declared: ``_archivo_origen, nombres, descartes``.
 
-    lines: ``_archivo_origen, _fila_num, linea``; line 0 is a header. The columns
-    are those of the file's own header line, else of its declaration. Result:
-    ``_archivo_origen, _fila_num, comillas`` (quoting broken), ``celdas`` (null
-    where broken) and ``nombres`` (null for a file of unknown columns).
+    The columns are those of the file's own header line, else of its declaration;
+    null where neither tells.
     """
     own = (
         lines.where("_fila_num = 0")
@@ -66,10 +62,19 @@ def raw_records(lines: DataFrame, files: DataFrame) -> DataFrame:
         .agg(F.min("linea").alias("h"))
         .select("_archivo_origen", F.transform(csvline.cells("h"), column_name).alias("propios"))
     )
-    told = declared_columns(files).select(F.col("ruta").alias("_archivo_origen"), F.col("nombres").alias("dichos")).dropDuplicates(["_archivo_origen"])
-    layout = own.join(told, "_archivo_origen", "full").select(
-        "_archivo_origen", F.coalesce("propios", F.when(F.size("dichos") > 0, F.col("dichos"))).alias("nombres")
+    told = declared_columns(files).select(F.col("ruta").alias("_archivo_origen"), F.col("nombres").alias("dichos"), "descartes").dropDuplicates(["_archivo_origen"])
+    return own.join(told, "_archivo_origen", "full").select(
+        "_archivo_origen", F.coalesce("propios", F.when(F.size("dichos") > 0, F.col("dichos"))).alias("nombres"), F.coalesce("descartes", F.array().cast("array<string>")).alias("descartes")
     )
+
+
+def raw_records(lines: DataFrame, layouts: DataFrame) -> DataFrame:
+    """Data lines of files not loaded yet with their cells and their file's columns.
+
+    lines: ``_archivo_origen, _fila_num, linea``; line 0 is a header. Result:
+    ``_archivo_origen, _fila_num, comillas`` (quoting broken), ``celdas`` (null
+    where broken) and ``nombres`` (null for a file of unknown columns).
+    """
     broken = csvline.quoting_broken("linea")
     return (
         lines.where("_fila_num > 0")
@@ -79,7 +84,7 @@ def raw_records(lines: DataFrame, files: DataFrame) -> DataFrame:
             broken.alias("comillas"),
             F.when(~broken, F.coalesce(csvline.cells("linea"), F.array(F.lit("")))).alias("celdas"),
         )
-        .join(layout, "_archivo_origen", "left")
+        .join(layouts.drop("descartes"), "_archivo_origen", "left")
     )
 
 
@@ -87,21 +92,25 @@ def _is_image(text: Column) -> Column:
     return text.rlike(r"(?i)\Ahttps?://\S+\.(jpe?g|png|webp|gif)(\?\S*)?\z")
 
 
-def column_roles(records: DataFrame, files: DataFrame, stores: DataFrame) -> DataFrame:
-    """What each column of a raw file holds: ``_archivo_origen, pos, nombre, rol``.
+def named_roles(layouts: DataFrame) -> DataFrame:
+    """Columns of each file with the role that their name gives them: ``_archivo_origen, pos, nombre, rol``.
 
-    ``rol`` is a canonical column, ``otra``, or null where neither name nor content
-    tells. Content speaks for unknown names only: the kind of at least 60 % of the
-    filled cells decides, among the canonical columns that no known name took; of
-    two price columns the one filled more often is ``precio_actual``.
+    ``rol`` is a canonical column, ``otra`` for a column declared dropped, else null.
     """
-    named = (
-        records.where("nombres is not null")
-        .select("_archivo_origen", "nombres")
-        .distinct()
-        .select("_archivo_origen", F.posexplode(F.col("nombres")).alias("pos", "nombre"))
-        .withColumn("rol", role_by_name(F.col("nombre")))
-    )
+    every = layouts.where("nombres is not null").select("_archivo_origen", "descartes", F.posexplode("nombres").alias("pos", "nombre"))
+    return every.select("_archivo_origen", "pos", "nombre", F.when(F.array_contains("descartes", F.col("nombre")), "otra").otherwise(role_by_name(F.col("nombre"))).alias("rol"))
+
+
+def column_roles(records: DataFrame, layouts: DataFrame, files: DataFrame, stores: DataFrame) -> DataFrame:
+    """What each column of a file not loaded yet holds: ``_archivo_origen, pos, nombre, rol``.
+
+    ``rol`` is a canonical column, ``otra`` (declared dropped), or null where neither
+    name nor content tells. Content speaks for unknown names: the kind of at least
+    60 % of the filled cells decides, among the canonical columns that no known name
+    took; of several columns of one kind the one with the larger such share goes first, of two price
+    columns the one filled more often, then the dearer one, is ``precio_actual``.
+    """
+    named = named_roles(layouts)
     unknown = named.where("rol is null").select("_archivo_origen", "pos", "nombre")
     taken = named.where("rol is not null and rol <> 'otra'").groupBy("_archivo_origen").agg(F.collect_set("rol").alias("ocupados"))
     shop = files.select(F.col("ruta").alias("_archivo_origen"), F.col("tienda").alias("tienda_slug")).join(stores.select("tienda_slug", "tienda_nombre"), "tienda_slug", "left").dropDuplicates(["_archivo_origen"])
@@ -123,17 +132,17 @@ def column_roles(records: DataFrame, files: DataFrame, stores: DataFrame) -> Dat
         .where("celda <> ''")
         .join(shop, "_archivo_origen", "left")
         .groupBy("_archivo_origen", "pos")
-        .agg(F.count("*").alias("llenas"), *[F.count_if(test).alias(f"n_{k}") for k, test in kinds.items()])
+        .agg(F.count("*").alias("llenas"), F.avg(price_digits(cell).try_cast("double")).alias("media"), *[F.count_if(test).alias(f"n_{k}") for k, test in kinds.items()])
     )
     best = F.array_max(F.array(*[F.struct((F.col(f"n_{k}") / F.col("llenas")).alias("parte"), F.lit(k).alias("tipo")) for k in kinds]))
-    by_price = Window.partitionBy("_archivo_origen", "tipo").orderBy(F.desc("llenas"), "pos")
+    by_kind = Window.partitionBy("_archivo_origen", "tipo").orderBy(F.when(F.col("tipo") != "precio", -F.col("parte")), F.desc("llenas"), F.desc("media"), "pos")
     free = lambda role: ~F.array_contains(F.coalesce("ocupados", F.array().cast("array<string>")), role)
     guessed = (
-        profile.select("_archivo_origen", "pos", "llenas", best.alias("m"))
+        profile.select("_archivo_origen", "pos", "llenas", "media", best.alias("m"))
         .where("m.parte >= 0.6")
-        .select("_archivo_origen", "pos", "llenas", F.col("m.tipo").alias("tipo"))
+        .select("_archivo_origen", "pos", "llenas", "media", "m.parte", F.col("m.tipo").alias("tipo"))
         .join(taken, "_archivo_origen", "left")
-        .withColumn("n", F.row_number().over(by_price))
+        .withColumn("n", F.row_number().over(by_kind))
         .select(
             "_archivo_origen",
             "pos",
@@ -148,6 +157,24 @@ def column_roles(records: DataFrame, files: DataFrame, stores: DataFrame) -> Dat
     )
 
 
+def loaded_roles(layouts: DataFrame) -> DataFrame:
+    """What each column of a loaded file holds: ``_archivo_origen, pos, nombre, rol``.
+
+    The loader has put all eight canonical columns under their names, so an unknown
+    name stands for one that no known name took: where a file has as many of the
+    one as of the other they pair in order, else they stay untold (null).
+    """
+    named = named_roles(layouts)
+    by_file = named.groupBy("_archivo_origen").agg(
+        F.collect_set("rol").alias("ocupados"),
+        F.array_sort(F.collect_list(F.when(F.col("rol").isNull(), F.col("pos")))).alias("sueltas"),
+    )
+    open_roles = F.array_except(F.array(*[F.lit(c) for c in CANONICAL]), F.col("ocupados"))
+    paired = by_file.where(F.size("sueltas") > 0).withColumn("libres", open_roles).where(F.size("libres") == F.size("sueltas"))
+    guessed = paired.select("_archivo_origen", F.explode(F.arrays_zip("sueltas", "libres")).alias("x")).select("_archivo_origen", F.col("x.sueltas").alias("pos"), F.col("x.libres").alias("adivinado"))
+    return named.join(guessed, ["_archivo_origen", "pos"], "left").select("_archivo_origen", "pos", "nombre", F.coalesce("rol", "adivinado").alias("rol"))
+
+
 def canonical_positions(roles: DataFrame) -> DataFrame:
     """One row a file: the cell position of each canonical column (null where it lacks one)."""
     return roles.groupBy("_archivo_origen").agg(

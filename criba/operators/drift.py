@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from criba.functions.dates import parse_date
 from criba.functions.prices import parse_price
+from criba.functions.text import strip
 from criba.operators import capture
 
 TYPED = ("precio_actual", "precio_oferta", "fecha_captura")
@@ -38,40 +39,35 @@ def fold_kinds(kinds: Column) -> Column:
 
 
 def file_schemas(files: DataFrame, loaded: DataFrame, lines: DataFrame, stores: DataFrame) -> DataFrame:
-    """Schema of every declared file.
+    """Schema of every file that is declared or has rows.
 
     One row a file: ``ruta, serie, anio_mes, columnas`` (array of nombre and rol in
     order) and ``tipos`` (kinds of most values by canonical column). Headers are
     parsed in the plan, in parallel; kinds come from one aggregation over the rows
     of loaded files and one over the lines of those not loaded yet.
     """
-    raw = capture.raw_records(lines, files)
-    roles = capture.column_roles(raw, files, stores)
+    layouts = capture.file_layouts(lines, files)
+    # A file with captured lines is not loaded; its columns tell what they hold.
+    waiting = lines.select("_archivo_origen").distinct()
+    fresh, done = layouts.join(waiting, "_archivo_origen", "left_semi"), layouts.join(waiting, "_archivo_origen", "left_anti")
+    raw = capture.raw_records(lines, fresh)
+    roles = capture.column_roles(raw, fresh, files, stores)
     kinds = capture.kind_counts(
         capture.loaded_cells(loaded)
         .select("_archivo_origen", *TYPED)
         .unionByName(capture.canonical_cells(raw, roles).select("_archivo_origen", *TYPED))
     )
-    guessed = (
-        roles.where("rol is not null")
-        .groupBy("_archivo_origen")
-        .agg(F.map_from_entries(F.collect_list(F.struct("pos", "rol"))).alias("roles"))
+    columns = (
+        roles.unionByName(capture.loaded_roles(done))
+        .groupBy(F.col("_archivo_origen").alias("ruta"))
+        .agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "nombre", "rol"))), lambda c: F.struct(c["nombre"].alias("nombre"), c["rol"].alias("rol"))).alias("columnas"))
     )
-    named = capture.declared_columns(files).dropDuplicates(["ruta"]).select("ruta", "serie", "anio_mes", "nombres")
-    known = lambda n: capture.role_by_name(n)
+    declared = files.dropDuplicates(["ruta"]).select("ruta", "serie", "anio_mes")
+    none = F.array().cast("array<struct<nombre:string,rol:string>>")
     return (
-        named.join(guessed.withColumnRenamed("_archivo_origen", "ruta"), "ruta", "left")
-        .join(kinds.withColumnRenamed("_archivo_origen", "ruta"), "ruta", "left")
-        .select(
-            "ruta",
-            "serie",
-            "anio_mes",
-            F.transform(
-                "nombres",
-                lambda n, i: F.struct(n.alias("nombre"), F.coalesce(known(n), F.try_element_at("roles", i)).alias("rol")),
-            ).alias("columnas"),
-            F.struct(*[F.col(f"tipo_{c}").alias(c) for c in TYPED]).alias("tipos"),
-        )
+        declared.join(columns, "ruta", "left")
+        .join(kinds.withColumnRenamed("_archivo_origen", "ruta"), "ruta", "full")
+        .select("ruta", "serie", "anio_mes", F.coalesce("columnas", none).alias("columnas"), F.struct(*[F.col(f"tipo_{c}").alias(c) for c in TYPED]).alias("tipos"))
     )
 
 
@@ -136,27 +132,40 @@ def union_schema(schemas: DataFrame) -> DataFrame:
     return kinds.select("columna", fold_kinds(F.col("t")).alias("tipo"), F.size("t").cast("bigint").alias("variantes"))
 
 
-def consistent_rows(files: DataFrame, loaded: DataFrame, lines: DataFrame, stores: DataFrame) -> DataFrame:
+#: How a captured text is read as each kind; a text is itself.
+_READ = {
+    "numero": parse_price,
+    "fecha": lambda c: parse_date(c).cast("date"),
+    "fecha_hora": parse_date,
+    "texto": lambda c: strip(c),
+    "vacio": lambda c: F.lit(None).cast("string"),
+}
+
+
+def consistent_rows(files: DataFrame, loaded: DataFrame, lines: DataFrame, stores: DataFrame, schema: dict[str, str | None] | None = None) -> DataFrame:
     """All rows of all files under the canonical names, cast to the union schema.
 
-    Texts stay as captured in ``*_raw``; prices are decimal and the date a
-    timestamp, null where unreadable. Rows that can't be laid out (broken quoting,
-    wrong number of cells) keep their place with null columns.
+    schema: the kind of each typed column; by default that of ``union_schema`` over all
+    files, which is worked out first (three rows). A column of kind ``numero`` is
+    decimal, ``fecha`` a date, ``fecha_hora`` a timestamp; where the files' kinds only meet in
+    ``texto`` the column is the trimmed text, so that nothing is lost. What a column of any kind
+    reads as is in ``*_leido`` (decimal or timestamp, null where unreadable), the text as captured in
+    ``*_raw``. Rows that can't be laid out (broken quoting, wrong number of cells) keep
+    their place with null columns.
     """
-    raw = capture.raw_records(lines, files)
-    roles = capture.column_roles(raw, files, stores)
+    if schema is None:
+        schema = {r["columna"]: r["tipo"] for r in union_schema(file_schemas(files, loaded, lines, stores)).collect()}
+    layouts = capture.file_layouts(lines, files)
+    raw = capture.raw_records(lines, layouts)
+    roles = capture.column_roles(raw, layouts.join(lines.select("_archivo_origen").distinct(), "_archivo_origen", "left_semi"), files, stores)
     columns = ["_archivo_origen", "_fila_num", *capture.CANONICAL]
     every = capture.loaded_cells(loaded).select(columns).unionByName(capture.canonical_cells(raw, roles).select(columns))
-    prices = ("precio_actual", "precio_oferta")
+    cast = {c: _READ[schema.get(c) or "vacio"](c) for c in TYPED}
     return every.select(
         "_archivo_origen",
         "_fila_num",
-        "sku",
-        "url_producto",
-        "producto",
-        *[parse_price(c).alias(c) for c in prices],
-        "url_imagen",
-        parse_date("fecha_captura").alias("fecha_captura"),
-        "tienda",
+        *[cast[c].alias(c) if c in cast else F.col(c) for c in capture.CANONICAL],
+        *[parse_price(c).alias(f"{c}_leido") for c in ("precio_actual", "precio_oferta")],
+        parse_date("fecha_captura").alias("fecha_captura_leido"),
         *[F.col(c).alias(f"{c}_raw") for c in TYPED],
     )

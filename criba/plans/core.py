@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from criba.functions.text import squeeze
-from criba.operators import badrows, capture, drift
+from criba.operators import badrows, drift
 from criba.operators.history import attribute_versions
 from criba.operators.spikes import flag_spikes
 from criba.session import read_table
@@ -34,8 +34,9 @@ def p2_esquema_union(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p2_filas(spark: SparkSession, folder: str) -> DataFrame:
-    """All rows of all files under the canonical names and the union schema."""
-    return drift.consistent_rows(*_capture_tables(spark, folder))
+    """All rows of all files under the canonical names and the union schema; what the data make of a typed column is written out."""
+    rows = drift.consistent_rows(*_capture_tables(spark, folder))
+    return rows.withColumns({c: F.col(c).cast("string") for c in drift.TYPED} | {f"{c}_leido": F.col(f"{c}_leido").cast("double") for c in ("precio_actual", "precio_oferta")})
 
 
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -138,8 +139,21 @@ _P5_VERSIONS_SQL = (
 )
 
 
+#: Names of the test tables' columns, for the SQL only: the operator tells them by content.
+_ROLE_NAMES_SQL = {
+    "sku": ("sku", "cod_art", "clave"),
+    "url_producto": ("url_producto", "enlace", "liga_producto"),
+    "producto": ("producto", "nombre", "articulo"),
+    "precio_actual": ("precio_actual", "precio_normal", "precio_regular", "precio", "precio_lista"),
+    "precio_oferta": ("precio_oferta", "precio_promo", "rebaja"),
+    "url_imagen": ("url_imagen", "imagen", "foto_url"),
+    "fecha_captura": ("fecha_captura", "fecha", "fecha_hora_captura", "fecha_registro", "capturado_en"),
+    "tienda": ("tienda", "sucursal", "cadena"),
+}
+
+
 def _role_sql(name: str) -> str:
-    whens = " ".join(f"when {name} in ({', '.join(repr(n) for n in names)}) then '{role}'" for role, names in capture.KNOWN_NAMES.items())
+    whens = " ".join(f"when {name} in ({', '.join(repr(n) for n in names)}) then '{role}'" for role, names in _ROLE_NAMES_SQL.items())
     return f"case {whens} end"
 
 
@@ -148,15 +162,16 @@ _KIND_SQL = rf"""case when upper(t) in ('', 'NO DISPONIBLE', 'N/A', 'NULL', '#N/
   when regexp_full_match(t, '{_DAY}') then 'fecha' when regexp_full_match(t, '{_DAY}[T\s]+[0-9]{{1,2}}:[0-9]{{1,2}}(:[0-9]{{1,2}})?Z?') then 'fecha_hora' else 'texto' end"""
 _AT = "list_filter(range(1, len(nombres) + 1), lambda i: list_contains({}, nombres[i]))[1]"
 
-#: Names never seen before are told by content, which this SQL does not try; the test tables have none.
-_P2_SQL = (
+_P2_KINDS_SQL = (
     _CELLS_SQL.replace("with recursive_free as (select 1),\n", "with ")
     + f""", vals as (select _archivo_origen as ruta, precio_actual_raw as pa, precio_oferta_raw as po, fecha_captura_raw as fe from precios_ext
   union all select _archivo_origen, celdas[{_AT.format(_PRICE_NAMES)}], celdas[{_AT.format("['precio_oferta', 'precio_promo', 'rebaja']")}], celdas[{_AT.format(_DATE_NAMES)}]
   from laid where not comillas and len(celdas) = len(nombres)),
 long as (select ruta, 'precio_actual' as c, {_TRIM.format('pa')} as t from vals union all select ruta, 'precio_oferta', {_TRIM.format('po')} from vals union all select ruta, 'fecha_captura', {_TRIM.format('fe')} from vals),
 kinds as (select ruta, c, {_KIND_SQL} as k, count(*) as n from long group by all),
-most as (select ruta, c, first(k order by n desc, list_position(['numero', 'fecha', 'fecha_hora', 'texto'], k)) as k from kinds where k <> 'vacio' group by 1, 2),
+most as (select ruta, c, first(k order by n desc, list_position(['numero', 'fecha', 'fecha_hora', 'texto'], k)) as k from kinds where k <> 'vacio' group by 1, 2)"""
+)
+_P2_SQL = _P2_KINDS_SQL + f""",
 seq as (select ruta, nombres, lag(ruta) over (partition by serie order by anio_mes, ruta) as r0, lag(nombres) over (partition by serie order by anio_mes, ruta) as n0 from declared where serie is not null),
 fresh as (select ruta, n, {_role_sql('n')} as rol from (select ruta, unnest(list_filter(nombres, lambda x: not list_contains(n0, x))) as n from seq where r0 is not null)),
 gone as (select ruta, n, {_role_sql('n')} as rol from (select ruta, unnest(list_filter(n0, lambda x: not list_contains(nombres, x))) as n from seq where r0 is not null)),
@@ -164,7 +179,48 @@ named as (select ruta, n, {_role_sql('n')} as rol from (select ruta, unnest(nomb
 select f.ruta, case when g.n is null then 'agregada' else 'renombrada' end as cambio, f.n as columna from fresh f left join gone g on g.ruta = f.ruta and g.rol = f.rol
 union all select g.ruta, 'eliminada', g.n from gone g left join fresh f on g.ruta = f.ruta and g.rol = f.rol where f.n is null
 union all select s.ruta, 'tipo', n.n from seq s join most a on a.ruta = s.ruta join most b on b.ruta = s.r0 and b.c = a.c join named n on n.ruta = s.ruta and n.rol = a.c where a.k <> b.k"""
+
+#: Kinds that meet in another than themselves: a date in a date with time, all else in text.
+_P2_UNION_SQL = _P2_KINDS_SQL + """,
+found as (select distinct c as columna, k from most)
+select columna, case when count(*) = 1 then min(k) when max(case when k in ('fecha', 'fecha_hora') then 0 else 1 end) = 0 then 'fecha_hora' else 'texto' end as tipo, count(*) as variantes
+from found group by columna"""
+
+
+def _cell_sql(role: str) -> str:
+    names = "[" + ", ".join(f"'{n}'" for n in _ROLE_NAMES_SQL[role]) + "]"
+    return f"case when not comillas and len(celdas) = len(nombres) then celdas[{_AT.format(names)}] end"
+
+
+def _number_sql(x: str) -> str:
+    """A price text as a number, by splitting at commas and dots."""
+    t = _BARE.format(_TRIM.format(x))
+    points = f"case when not contains({t}, ',') then {t} when contains({t}, '.') then replace({t}, ',', '') when len(string_split({t}, ',')[-1]) = 3 then replace({t}, ',', '') when len(string_split({t}, ',')[-1]) in (1, 2) then replace({t}, ',', '.') end"
+    one = f"case when len(string_split({points}, '.')) > 2 then array_to_string(string_split({points}, '.')[:-2], '') || '.' || string_split({points}, '.')[-1] else {points} end"
+    return f"case when upper({_TRIM.format(x)}) not in ('', 'NO DISPONIBLE', 'N/A', 'NULL', '#N/D') and regexp_full_match({one}, '[0-9]+(\\.[0-9]+)?') then try_cast({one} as double) end"
+
+
+def _joint_sql(c: str, read: str) -> str:
+    return f"case (select tipo from joint where columna = '{c}') when 'texto' then case when {c} is not null then {_TRIM.format(c)} end when 'fecha' then {read}[:10] else {read} end as {c}"
+
+
+_P2_ROWS_SQL = (
+    _P2_UNION_SQL.replace("select columna, case when count(*)", "joint as (select columna, case when count(*)").replace("k from most)\njoint", "k from most),\njoint")
+    + f"""), every as (select _archivo_origen, _fila_num, {", ".join(f"{raw} as {c}" for c, raw in zip(_ROLE_NAMES_SQL, _RAW_COLUMNS))} from precios_ext
+  union all select _archivo_origen, _fila_num, {", ".join(_cell_sql(c) for c in _ROLE_NAMES_SQL)} from laid)
+select _archivo_origen, _fila_num, sku, url_producto, producto, url_imagen, tienda,
+  {", ".join(_joint_sql(c, f"cast(cast({_number_sql(c)} as decimal(38, 9)) as varchar)") for c in ("precio_actual", "precio_oferta"))},
+  {_joint_sql("fecha_captura", f"strftime({_DATE.format("coalesce(fecha_captura, '')")}, '%Y-%m-%d %H:%M:%S')")},
+  {", ".join(f"{_number_sql(c)} as {c}_leido" for c in ("precio_actual", "precio_oferta"))}, {_DATE.format("coalesce(fecha_captura, '')")} as fecha_captura_leido,
+  precio_actual as precio_actual_raw, precio_oferta as precio_oferta_raw, fecha_captura as fecha_captura_raw from every"""
+)
+
+#: Rows of P3 without a reason.
+_P3_VALID_SQL = (
+    _P2_ROWS_SQL.split("\nselect _archivo_origen, _fila_num, sku,")[0]
+    + f""", bad as ({_P3_SQL})
+select _archivo_origen, _fila_num, {", ".join(_ROLE_NAMES_SQL)} from every anti join (select distinct _archivo_origen, _fila_num from bad) using (_archivo_origen, _fila_num)"""
 )
 
 #: The spike query has no SQL: it is tested against cases written out by hand.
-ORACLES = {"p2_found": _P2_SQL, "p3_found": _P3_SQL, "p5_found": _P5_SQL, "p5_versiones": _P5_VERSIONS_SQL}
+ORACLES = {"p2_found": _P2_SQL, "p2_esquema_union": _P2_UNION_SQL, "p2_filas": _P2_ROWS_SQL, "p3_found": _P3_SQL, "p3_validas": _P3_VALID_SQL, "p5_found": _P5_SQL, "p5_versiones": _P5_VERSIONS_SQL}

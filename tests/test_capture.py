@@ -1,9 +1,13 @@
 """Broken rows and drifting schemas on small files written out by hand."""
 
+import collections
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from criba.functions import csvline
+from criba.functions.text import column_name
 from criba.operators import badrows, capture, drift
 
 V1 = "SKU,URL_PRODUCTO,Producto,Precio_Actual,Precio_Oferta,URL_IMAGEN,Fecha_Hora_Captura,Tienda"
@@ -84,9 +88,9 @@ def test_empty_tables(spark, tables):
     assert drift.consistent_rows(*t).count() == 0
 
 
-def _changes(tables, first, second, first_lines=(), second_lines=()):
+def _changes(tables, first, second, first_lines=(), second_lines=(), loaded=False):
     files = [("a", "s", "botica", "2025-01", False, None, first, "x"), ("b", "s", "botica", "2025-02", False, None, second, "x"), ("c", None, "botica", "2025-02", False, None, first, "x")]
-    lines = [(f, n, line, 1) for f, head, rows in (("a", first, first_lines), ("b", second, second_lines)) for n, line in enumerate([head, *rows])]
+    lines = [(f, n, line, 1) for f, head, rows in (("a", first, first_lines), ("b", second, second_lines)) for n, line in enumerate([head, *rows]) if not loaded]
     found = drift.changes(drift.file_schemas(*tables(files=files, lines=lines))).collect()
     return {(r.ruta, r.cambio, r.columna) for r in found}
 
@@ -97,9 +101,42 @@ def test_names_in_another_form_or_order_are_no_change(spark, tables):
 
 def test_added_removed_renamed(spark, tables):
     second = V1.replace("Precio_Actual", "Precio_Normal").replace(",Tienda", ",Código Postal").replace("SKU,", "Clave,EAN,")
-    assert _changes(tables, V1, second) == {
+    rows = [f"{123450 + i}," + GOOD for i in range(5)]
+    rows = [r.replace(",123456,", f",{'si' if i else 'no'},").replace(",Botica", ",06100") for i, r in enumerate(rows)]
+    assert _changes(tables, V1, second, [GOOD], rows) == {
         ("b", "renombrada", "precio_normal"), ("b", "renombrada", "clave"), ("b", "agregada", "ean"), ("b", "agregada", "codigo_postal"), ("b", "eliminada", "tienda"),
     }
+    # Without rows no content says that a column of an unknown name is an old one.
+    assert _changes(tables, V1, V1.replace("SKU", "Clave")) == {("b", "agregada", "clave"), ("b", "eliminada", "sku")}
+
+
+def test_no_name_but_the_canonical_ones_is_needed(spark):
+    """Every other name in the files not loaded yet replaced by one that says nothing: the same changes under the new names."""
+    place = "/root/testdata/sf0.01"
+    if not os.path.isdir(place):
+        pytest.skip("the test tables are not here")
+    names = ("archivo_declarado", "precios_ext", "captura_cruda", "dim_tienda")
+    files, loaded, lines, stores = (spark.read.parquet(f"{place}/{n}.parquet") for n in names)
+    known = [n for names in capture.KNOWN_NAMES.values() for n in names]
+    mask = lambda cells: F.transform(cells, lambda c: F.when(column_name(c).isin(*known), c).otherwise(F.concat(F.lit("q"), F.substring(F.md5(column_name(c)), 1, 8))))
+    header = lambda c: F.array_join(mask(csvline.cells(c)), ",")
+    masked_files = files.withColumn("primera_linea", F.when(~F.col("cargado") & ~F.col("sin_header"), header("primera_linea")).otherwise(F.col("primera_linea")))
+    masked_files = masked_files.withColumn("columnas", F.when(~F.col("cargado"), mask(F.col("columnas"))).otherwise(F.col("columnas")))
+    masked_files = masked_files.withColumn("columnas_descartar", F.when(~F.col("cargado"), mask(F.col("columnas_descartar"))).otherwise(F.col("columnas_descartar")))
+    masked_lines = lines.withColumn("linea", F.when(F.col("_fila_num") == 0, header("linea")).otherwise(F.col("linea")))
+    rows = lambda f, l: collections.Counter((r.ruta, r.cambio) for r in drift.changes(drift.file_schemas(f, loaded, l, stores)).collect())
+    plain = rows(files, lines)
+    hidden = rows(masked_files, masked_lines)
+    # A dropped column that both files have under its own name has another one in the masked file only.
+    both = {(k, n) for k, n in plain.items() if k[1] in ("renombrada", "tipo")}
+    assert both and both == {(k, n) for k, n in hidden.items() if k[1] in ("renombrada", "tipo")}
+
+
+def test_unknown_names_of_loaded_files(spark, tables):
+    """Loaded rows hold all canonical columns, so names and columns left over pair in order."""
+    second = V1.replace("SKU", "Clave").replace("Tienda", "Sucursal")
+    assert _changes(tables, V1, second, loaded=True) == {("b", "renombrada", "clave"), ("b", "renombrada", "sucursal")}
+    assert _changes(tables, V1, V1.replace("SKU", "Clave,Algo"), loaded=True) == {("b", "agregada", "clave"), ("b", "agregada", "algo"), ("b", "eliminada", "sku")}
 
 
 def test_unknown_name_is_told_by_content(spark, tables):
@@ -137,4 +174,10 @@ def test_canonical_rows(spark, tables):
     rows = {r._fila_num: r for r in drift.consistent_rows(*t).collect()}
     assert (rows[1].tienda, rows[1].sku, float(rows[1].precio_actual), rows[1].producto) == ("Botica", "55", 12.5, None)
     assert rows[2].sku is None
+    # Where the files' kinds only meet in text, a typed column is text and what it reads as stands beside.
+    mixed = tables(files=files, lines=[("f", 1, "Botica,55,12.5", 1)], loaded=[("g", 1, *["1", "u", "p", "$1,200.50 ", "", "i", "05/01/25 10:30", "t"], "x")])
+    rows = {r._archivo_origen: r for r in drift.consistent_rows(*mixed).collect()}
+    assert (rows["f"].precio_actual, rows["g"].precio_actual, float(rows["g"].precio_actual_leido)) == ("12.5", "$1,200.50", 1200.5)
+    assert str(rows["g"].fecha_captura) == "2025-01-05 10:30:00" and rows["g"].precio_oferta is None
+    assert drift.consistent_rows(*mixed, schema={"precio_actual": "numero"}).schema["precio_actual"].dataType.simpleString() == "decimal(38,9)"
     assert capture.CANONICAL[0] == "sku"
