@@ -71,9 +71,14 @@ def backfilled(regular: Column, sale: Column) -> tuple[Column, Column]:
     return some(regular, sale), some(sale, regular)
 
 
-def capped(regular: Column, sale: Column) -> tuple[Column, Column]:
-    """Amounts whose sale price is at most the regular one: the larger is taken for regular."""
-    return F.greatest(regular, sale), F.least(sale, regular)
+def sale_capped(regular: Column, sale: Column) -> tuple[Column, Column]:
+    """Amounts whose sale price is lowered to the regular one where it lies above: (3, 9) gives (3, 3)."""
+    return regular, F.when(sale > regular, regular).otherwise(sale)
+
+
+def regular_raised(regular: Column, sale: Column) -> tuple[Column, Column]:
+    """Amounts whose regular price is raised to the final one where it lies below or is missing: (3, 9) gives (9, 9)."""
+    return F.when(regular.isNull() | (regular < sale), F.coalesce(sale, regular)).otherwise(regular), sale
 
 
 #: The text forms by name, for callers that pick one by shop.

@@ -26,9 +26,24 @@ def top_k(df: DataFrame, by: Sequence[str], order: Sequence[Column], k: int, ran
     return df.withColumn(rank, F.row_number().over(w)).where(F.col(rank) <= k)
 
 
-def numbered_duplicates(df: DataFrame, by: Sequence[str], order: Sequence[Column], number: str = "rn") -> DataFrame:
-    """Rows numbered within groups of equal values; nulls are equal to each other."""
-    return df.withColumn(number, F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
+def numbered_duplicates(df: DataFrame, by: Sequence[str], order: Sequence[str], number: str = "rn") -> DataFrame:
+    """Rows numbered from 1 within groups of equal values, in ascending order; nulls are equal to each other.
+
+    No group is one task's, however many rows it has (all blank rows are one): rows are numbered within the
+    group's share of each value of all order columns but the last, say of a file, and the
+    counts of the shares before are added. Groups are told by 128 bits of hash.
+    """
+    keyed = df.withColumn("_k", F.xxhash64(*by)).withColumn("_l", F.xxhash64(F.lit(1), *by))
+    share = ["_k", "_l", *order[:-1]]
+    inner = keyed.withColumn("_i", F.row_number().over(Window.partitionBy(*share).orderBy(order[-1])))
+    if len(order) == 1:
+        return inner.withColumnRenamed("_i", number).drop("_k", "_l")
+    before = Window.partitionBy("_k", "_l").orderBy(*order[:-1]).rowsBetween(Window.unboundedPreceding, -1)
+    counts = keyed.groupBy(*share).agg(F.count("*").alias("_n")).withColumn("_a", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    # Only groups of several shares have anything before any of them.
+    offsets = counts.where("_a > 0").select(*[F.col(c).alias(f"_s{i}") for i, c in enumerate(share)], "_a")
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_s{i}")) for i, c in enumerate(share)])
+    return inner.join(offsets, same, "left").select(*df.columns, (F.col("_i") + F.coalesce("_a", F.lit(0))).alias(number))
 
 
 def margin_to_next(df: DataFrame, by: Sequence[str], distance: str, tie: str) -> DataFrame:

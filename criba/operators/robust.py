@@ -1,50 +1,62 @@
 """Robust statistics of groups: outlier scores, positions, summaries, mid-ranks.
 
-Group statistics are computed by aggregation and joined back rather than by
-windows over whole groups, so that a large group is reduced before it moves.
-What is read both for the statistics and for the join is written once.
+Statistics of a group come from its distinct values and their numbers, counted
+before anything meets by group, so that a large group is reduced before it
+moves; all of them are taken over one partitioning, and rows are joined once to
+one row a group.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from criba.functions.stats import guarded
-from criba.session import cut_lineage
 
 
-def _joined(df: DataFrame, by: Sequence[str], *aggregates: Column) -> DataFrame:
-    return df.join(df.groupBy(*by).agg(*aggregates), list(by))
+def _with_groups(df: DataFrame, by: Sequence[str], groups: DataFrame) -> DataFrame:
+    """Rows with what one row a group says; null keys are a group too."""
+    named = groups.withColumnsRenamed({c: f"_g{i}" for i, c in enumerate(by)})
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_g{i}")) for i, c in enumerate(by)])
+    return df.join(named, same).drop(*[f"_g{i}" for i in range(len(by))])
 
 
-def robust_scores(df: DataFrame, by: Sequence[str], value: str, least: int = 4, limit: float = 3.5) -> DataFrame:
-    """``n``, ``z`` and ``atipico`` of each positive value within its group.
+def _score(x: Column, least: int) -> Column:
+    d = x - F.col("_m")
+    z = F.when(F.col("_mad") > 0, 0.6745 * d / F.col("_mad")).when(F.col("_mean") > 0, d / (1.2533 * F.col("_mean"))).otherwise(0.0)
+    return guarded(z, "n", least)
 
-    On logarithms: 0.6745 (x - median) / MAD; where the MAD is zero, (x - median) /
-    (1.2533 mean absolute deviation); where that is zero too, 0. Groups of fewer
-    than ``least`` values have null scores and no outliers. Rows of null or
-    non-positive value are left out.
-    """
-    logs = cut_lineage(df.where(F.col(value) > 0).withColumn("_x", F.ln(F.col(value).cast("double"))))
-    centred = cut_lineage(_joined(logs, by, F.count("*").alias("n"), F.expr("percentile(_x, 0.5)").alias("_m")).withColumn("_d", F.col("_x") - F.col("_m")))
-    spread = _joined(centred, by, F.expr("percentile(abs(_d), 0.5)").alias("_mad"), F.avg(F.abs("_d")).alias("_mean"))
-    z = F.when(F.col("_mad") > 0, 0.6745 * F.col("_d") / F.col("_mad")).when(F.col("_mean") > 0, F.col("_d") / (1.2533 * F.col("_mean"))).otherwise(0.0)
-    scored = spread.withColumn("z", guarded(z, "n", least))
-    return scored.withColumn("atipico", F.coalesce(F.abs("z") > limit, F.lit(False))).drop("_x", "_m", "_d", "_mad", "_mean")
 
+def _statistics(df: DataFrame, by: Sequence[str], value: str, least: int, limit: float) -> DataFrame:
+    """One row a group: ``n``, median, MAD and mean deviation of the logarithms, number and median of the values that are no outliers."""
+    group = Window.partitionBy(*by)
+    counts = df.where(F.col(value) > 0).groupBy(*by, F.col(value).cast("double").alias("_v")).agg(F.count("*").alias("_n"))
+    told = counts.withColumn("_x", F.ln("_v"))
+    told = told.withColumn("n", F.sum("_n").over(group)).withColumn("_m", F.expr("percentile(_x, 0.5, _n)").over(group))
+    told = told.withColumn("_d", F.abs(F.col("_x") - F.col("_m")))
+    told = told.withColumn("_mad", F.expr("percentile(_d, 0.5, _n)").over(group)).withColumn("_mean", F.sum(F.col("_d") * F.col("_n")).over(group) / F.col("n"))
+    clean = ~F.coalesce(F.abs(_score(F.col("_x"), least)) > limit, F.lit(False))
+    told = told.withColumn("_c", F.when(clean, F.col("_v"))).withColumn("_k", F.when(clean, F.col("_n")).otherwise(F.lit(0).cast("long")))
+    first = lambda c: F.first(c).alias(c)
+    return told.groupBy(*by).agg(first("n"), first("_m"), first("_mad"), first("_mean"), F.sum("_k").alias("_limpios"), F.expr("percentile(_c, 0.5, _k)").alias("_med"))
 
-def position(scored: DataFrame, by: Sequence[str], value: str, least: int = 4) -> DataFrame:
-    """``mediana`` of the group without outliers and ``pct``: the value's relative distance from it.
 
-    Both are null in groups with fewer than ``least`` values that are no outliers.
+def robust_scores(df: DataFrame, by: Sequence[str], value: str, least: int = 4, limit: float = 3.5) -> DataFrame:
+    """``n``, ``z`` and ``atipico`` of each positive value within its group, ``mediana`` without outliers and ``pct``.
+
+    On logarithms: 0.6745 (x - median) / MAD; where the MAD is zero, (x - median) /
+    (1.2533 mean absolute deviation); where that is zero too, 0. Groups of fewer
+    than ``least`` values have null scores and no outliers. ``mediana`` is that of the group's values
+    that are no outliers, ``pct`` the value's relative distance from it; both are null with
+    fewer than ``least`` such values. Rows of null or non-positive value are left out.
     """
-    clean = F.when(~F.col("atipico"), F.col(value).cast("double"))
-    counted = _joined(scored.withColumn("_c", clean), by, F.count("_c").alias("_n"), F.expr("percentile(_c, 0.5)").alias("_m"))
-    median = guarded(F.col("_m"), "_n", least)
-    return counted.withColumn("mediana", median).withColumn("pct", F.col(value) / F.col("mediana") - 1).drop("_c", "_n", "_m")
+    joined = _with_groups(df.where(F.col(value) > 0), by, _statistics(df, by, value, least, limit))
+    scored = joined.withColumn("z", _score(F.ln(F.col(value).cast("double")), least))
+    told = scored.withColumn("atipico", F.coalesce(F.abs("z") > limit, F.lit(False))).withColumn("mediana", guarded(F.col("_med"), "_limpios", least))
+    return told.withColumn("pct", F.col(value) / F.col("mediana") - 1).drop("_m", "_mad", "_mean", "_limpios", "_med")
 
 
 def summary(df: DataFrame, by: Sequence[str], value: str, name: str, least: int = 4) -> DataFrame:
@@ -99,5 +111,6 @@ def mid_ranks(df: DataFrame, by: Sequence[str], value: str, least: int = 5) -> D
 def premium_over(df: DataFrame, by: Sequence[str], value: str, is_reference: Column, least: int = 3) -> DataFrame:
     """``prima``: a value as a multiple of the median of the group's reference rows; null below ``least`` of them."""
     ref = F.when(is_reference, F.col(value).cast("double"))
-    told = _joined(df.withColumn("_r", ref), by, F.count("_r").alias("referencias"), F.expr("percentile(_r, 0.5)").alias("_m"))
+    marked = df.withColumn("_r", ref)
+    told = _with_groups(marked, by, marked.groupBy(*by).agg(F.count("_r").alias("referencias"), F.expr("percentile(_r, 0.5)").alias("_m")))
     return told.withColumn("prima", guarded(F.try_divide(F.col(value).cast("double"), F.col("_m")), "referencias", least)).drop("_r", "_m")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Sequence
 
@@ -33,24 +34,32 @@ def without_orphans(existing: DataFrame, owners: DataFrame, key: Sequence[str])
     return existing.join(owners.select(*key).distinct(), list(key), "left_semi")
 
 
+#: Seconds after which the lock of a writer that never finished lapses.
+LEASE_SECONDS = 600
+
+
 class VersionedTable:
     """A table as folders of versions and a pointer to the current one.
 
-    A new version is written beside the others and only then pointed to, so readers
-    see either the old rows or the new ones. Folders are on the shared file system;
-    the pointer is one small file replaced by a rename.
+    A new version is written beside the others and only then pointed to, by one
+    rename that replaces the pointer, so readers see either the old rows or the
+    new ones and never none. Folders are on the shared file system. A writer that started
+    from a version that is no longer the current one is refused, and keeps
+    nothing: two writers never lose an update. ``keep`` versions stay for readers
+    that still hold them; older ones go.
     """
 
-    def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder.rstrip("/")
+    def __init__(self, spark: SparkSession, folder: str, keep: int = 2):
+        self.spark, self.folder, self.keep = spark, folder.rstrip("/"), keep
 
-    def _fs(self):
+    def _context(self):
         jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.folder)
-        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), jvm.org.apache.hadoop.fs.Path
+        path = jvm.org.apache.hadoop.fs.Path
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        return jvm.org.apache.hadoop.fs.FileContext.getFileContext(path(self.folder).toUri(), conf), path(self.folder).getFileSystem(conf), path, jvm
 
     def _pointed(self) -> str | None:
-        fs, path = self._fs()
+        _, fs, path, _ = self._context()
         if not fs.exists(path(f"{self.folder}/current")):
             return None
         return self.spark.read.text(f"{self.folder}/current").first()[0]
@@ -62,21 +71,44 @@ class VersionedTable:
 
     def replace(self, df: DataFrame, partition_by: Sequence[str] = ()) -> None:
         """Writes ``df`` as a new version and points to it; ``df`` may read the current one."""
-        version = f"v-{uuid.uuid4().hex}"
+        self._publish(df, partition_by, self._pointed())
+
+    def _publish(self, df: DataFrame, partition_by: Sequence[str], seen: str | None) -> None:
+        version = f"v-{int(time.time() * 1000):015d}-{uuid.uuid4().hex}"
         df.write.partitionBy(*partition_by).parquet(f"{self.folder}/{version}")
-        fs, path = self._fs()
+        context, fs, path, jvm = self._context()
+        # Whoever makes the lock, which names the version it replaces, may point; one left by a dead writer lapses.
+        lock = path(f"{self.folder}/.after-{seen or 'none'}")
+        if fs.exists(lock) and time.time() - fs.getFileStatus(lock).getModificationTime() / 1000 > LEASE_SECONDS:
+            fs.delete(lock, False)
+        if self._pointed() != seen or not fs.createNewFile(lock):
+            fs.delete(path(f"{self.folder}/{version}"), True)
+            raise StaleVersionError(f"{self.folder}: another writer has replaced version {seen}")
         fresh = path(f"{self.folder}/.current-{version}")
         out = fs.create(fresh, True)
         out.write(bytearray(version, "utf-8"))
         out.close()
-        fs.delete(path(f"{self.folder}/current"), False)
-        if not fs.rename(fresh, path(f"{self.folder}/current")):
-            raise OSError(f"could not point {self.folder} to {version}")
+        option = jvm.org.apache.hadoop.fs.Options.Rename
+        options = self.spark.sparkContext._gateway.new_array(option, 1)
+        options[0] = option.OVERWRITE
+        context.rename(fresh, path(f"{self.folder}/current"), options)
+        fs.delete(lock, False)
+        self._expire(fs, path, version)
+
+    def _expire(self, fs, path, current: str) -> None:
+        found = sorted(s.getPath().getName() for s in fs.listStatus(path(self.folder)) if s.isDirectory() and s.getPath().getName().startswith("v-"))
+        for name in [n for n in found if n < current][: -self.keep + 1 or None] if self.keep > 0 else []:
+            fs.delete(path(f"{self.folder}/{name}"), True)
 
     def merge(self, changes: DataFrame, key: Sequence[str]) -> None:
-        """Upserts ``changes`` by key into the current version."""
-        held = self.read()
-        self.replace(changes if held is None else upsert(held, changes, key))
+        """Upserts ``changes`` by key into the current version; refused where another writer got in between."""
+        seen = self._pointed()
+        held = self.spark.read.parquet(f"{self.folder}/{seen}") if seen else None
+        self._publish(changes if held is None else upsert(held, changes, key), (), seen)
+
+
+class StaleVersionError(RuntimeError):
+    """The table has changed since the writer read it."""
 
 
 def latest_entries(manifest: DataFrame, key: str = "ruta_origen", version: str = "version") -> DataFrame:

@@ -66,8 +66,7 @@ def _panel(spark: SparkSession, folder: str) -> DataFrame:
     priced = lines.select("l_partkey", "s_nationkey", F.trunc("l_shipdate", "year").alias("periodo"), listed.alias("lista"), F.coalesce(sale, listed).alias("precio"), "l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice")
     order = ["precio", "lista", "l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice"]
     cheap = relational.first_values(priced, ["l_partkey", "s_nationkey", "periodo"], ["precio", "lista"], order)
-    scored = robust.robust_scores(cheap, ["l_partkey", "periodo"], "precio")
-    return robust.position(scored, ["l_partkey", "periodo"], "precio")
+    return robust.robust_scores(cheap, ["l_partkey", "periodo"], "precio")
 
 
 @query(_PANEL_SQL + """
@@ -174,7 +173,7 @@ select _archivo_origen, _fila_num, rn from (select _archivo_origen, _fila_num, r
 def duplicados_exactos(spark: SparkSession, folder: str) -> DataFrame:
     """Rows that repeat another one in all captured columns, numbered in order of month."""
     rows = read_table(spark, folder, "precios_ext")
-    numbered = relational.numbered_duplicates(rows, _RAW8, [F.col("anio_mes"), F.col("_archivo_origen"), F.col("_fila_num")])
+    numbered = relational.numbered_duplicates(rows, _RAW8, ["anio_mes", "_archivo_origen", "_fila_num"])
     return numbered.where("rn > 1").select("_archivo_origen", "_fila_num", F.col("rn").cast("bigint").alias("rn"))
 
 

@@ -23,6 +23,8 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int = 8, memory: str
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         # Percentiles of many small groups stay in a hash map instead of being sorted.
         .config("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "100000")
+        # Checkpoints go once nothing refers to them any more.
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")

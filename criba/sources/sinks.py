@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -15,20 +16,51 @@ class ReconciliationError(ValueError):
 def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str], sort_by: Sequence[str] = (), expected: int | None = None) -> int:
     """Replaces the partitions that ``df`` holds, and no others; returns the rows written.
 
-    Rows are sorted within files, so that readers skip row groups. The count is
-    observed while writing; where it differs from ``expected`` an error names both.
+    Rows are sorted within files, so that readers skip row groups. They are written beside the
+    table first and counted; where the count differs from ``expected`` an error
+    names both and the table stays as it was. Only then each partition's folder takes the
+    place of the former one by a rename.
     """
+    spark = df.sparkSession
+    beside = f"{path.rstrip('/')}/_nuevo-{uuid.uuid4().hex}"
     seen = Observation()
     out = df.repartition(*partition_by).sortWithinPartitions(*partition_by, *sort_by) if partition_by else df
-    counted = out.observe(seen, F.count(F.lit(1)).alias("n"))
-    writer = counted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "snappy")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    writer = out.observe(seen, F.count(F.lit(1)).alias("n")).write.option("compression", "snappy")
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(beside)
     written = seen.get["n"]
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop = jvm.org.apache.hadoop.fs.Path
+    fs = hadoop(path).getFileSystem(conf)
     if expected is not None and written != expected:
+        fs.delete(hadoop(beside), True)
         raise ReconciliationError(f"{path}: {expected} rows read, {written} written")
+    _move_leaves(fs, hadoop, beside, path.rstrip("/"), len(partition_by))
+    fs.delete(hadoop(beside), True)
     return written
 
 
+def _move_leaves(fs, hadoop, source: str, target: str, depth: int) -> None:
+    """Moves each folder ``depth`` levels below ``source`` to the same place below ``target``, in place of what is there."""
+    entries = [s for s in fs.listStatus(hadoop(source)) if not s.getPath().getName().startswith(("_", "."))]
+    if depth == 0:
+        for old in fs.listStatus(hadoop(target)) if fs.exists(hadoop(target)) else []:
+            if old.isFile() and not old.getPath().getName().startswith("_"):
+                fs.delete(old.getPath(), False)
+        fs.mkdirs(hadoop(target))
+        for s in entries:
+            fs.rename(s.getPath(), hadoop(f"{target}/{s.getPath().getName()}"))
+        return
+    for s in entries:
+        name = s.getPath().getName()
+        if depth > 1:
+            _move_leaves(fs, hadoop, f"{source}/{name}", f"{target}/{name}", depth - 1)
+            continue
+        if fs.exists(hadoop(f"{target}/{name}")):
+            fs.delete(hadoop(f"{target}/{name}"), True)
+        fs.mkdirs(hadoop(target))
+        fs.rename(s.getPath(), hadoop(f"{target}/{name}"))
+
+
 def replace_files(existing: DataFrame, incoming: DataFrame, file: str) -> DataFrame:
     """Rows of a table in which the files of ``incoming`` take the place of their former rows."""
     return existing.join(incoming.select(file).distinct(), file, "left_anti").unionByName(incoming, allowMissingColumns=True)

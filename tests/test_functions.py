@@ -114,8 +114,12 @@ def test_store_forms(spark):
     df = spark.createDataFrame([(2.0, None), (0.0, 5.0), (3.0, 9.0)], "a double, b double")
     a, b = stores.backfilled(F.col("a"), F.col("b"))
     assert [tuple(r) for r in df.select(a, b).collect()] == [(2.0, 2.0), (5.0, 5.0), (3.0, 9.0)]
-    a, b = stores.capped(F.col("a"), F.col("b"))
-    assert [tuple(r) for r in df.select(a, b).collect()][2] == (9.0, 3.0)
+    a, b = stores.sale_capped(F.col("a"), F.col("b"))
+    assert [tuple(r) for r in df.select(a, b).collect()] == [(2.0, None), (0.0, 0.0), (3.0, 3.0)]
+    a, b = stores.regular_raised(F.col("a"), F.col("b"))
+    assert [tuple(r) for r in df.select(a, b).collect()] == [(2.0, None), (5.0, 5.0), (9.0, 9.0)]
+    only_sale = spark.createDataFrame([(None, 4.0)], "a double, b double")
+    assert tuple(only_sale.select(a, b).first()) == (4.0, 4.0)
     shops = spark.createDataFrame([("a", "$1,5"), ("b", "$1,5"), ("c", "$1,5")], "s string, x string")
     assert [r[0] for r in shops.select(stores.by_shop("x", "s", {"a": "first_amount", "b": "commas_to_dots"})).collect()] == ["15", "1.5", "$1,5"]
     assert apply(spark, ["Access DENIED", "ok", None], stores.is_blocked("x")) == [(True,), (False,), (None,)]
