@@ -60,3 +60,10 @@ def valid_month(text: str) -> str:
     if not re.fullmatch(r"\d{4}-(0[1-9]|1[0-2])", text):
         raise ValueError(f"not a month: {text!r}")
     return text
+
+
+def month_date(c: Column | str) -> Column:
+    """First day of a month written ``yyyy-MM`` or ``yyyyMM``; null for anything else."""
+    text = as_column(c)
+    dashed = F.regexp_replace(text, r"\A(\d{4})(\d{2})\z", "$1-$2")
+    return F.when(dashed.rlike(r"\A\d{4}-(0[1-9]|1[0-2])\z"), F.concat(dashed, F.lit("-01")).try_cast("date"))

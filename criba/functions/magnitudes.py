@@ -74,3 +74,38 @@ def magnitudes_agree(a: Column, b: Column) -> Column:
     for f in fields:
         agree = agree & F.coalesce(a[f] == b[f], F.lit(True))
     return agree
+
+
+# Route of administration by the first letter of the code of the dosage form; other letters have none.
+ROUTES = {
+    "A": "ORAL",
+    "B": "ORAL",
+    "C": "ORAL",
+    "D": "ORAL",
+    "E": "ORAL",
+    "F": "PARENTERAL",
+    "G": "PARENTERAL",
+    "H": "RECTAL",
+    "I": "NASAL",
+    "J": "OTRA",
+    "K": "BUCAL",
+    "M": "TOPICA",
+    "N": "OFTALMICA",
+    "P": "OTICA",
+    "Q": "NASAL",
+    "R": "INHALADA",
+    "T": "VAGINAL",
+}
+
+
+def route(code: Column | str, table: dict[str, str] = ROUTES) -> Column:
+    """Route of a dosage form's code; null for letters without one."""
+    return F.try_element_at(F.create_map(*[F.lit(x) for pair in table.items() for x in pair]), F.substring(as_column(code), 1, 1))
+
+
+def group_key(*parts: Column | str, none: tuple[str, ...] = ()) -> Column:
+    """Parts joined by bars; null where any part is null or a text that stands for none."""
+    known = F.lit(True)
+    for p in parts:
+        known = known & as_column(p).isNotNull() & ~as_column(p).cast("string").isin(*none)
+    return F.when(known, F.concat_ws(" | ", *[as_column(p).cast("string") for p in parts]))

@@ -105,6 +105,45 @@ def decision(distance: Column, margin: Column, guard: Column, farma: Column, tau
     return F.when(distance.isNull() | (distance > tau), "sin_match").when(sure, "match").otherwise("cuarentena")
 
 
+def quarantine_reason(margin: Column, guard: Column, delta: float) -> Column:
+    """Why a candidate within its threshold is set aside: ``margen``, else ``guarda``, else ``estrato_forzado``."""
+    return F.when(~F.coalesce(margin >= delta, F.lit(False)), "margen").when(~F.coalesce(guard, F.lit(False)), "guarda").otherwise("estrato_forzado")
+
+
+def any_pair(rules: Sequence[dict[str, str]]) -> Column:
+    """True where a row equals any of the rules in all columns that the rule names; no rules, never."""
+    out = F.lit(False)
+    for rule in rules:
+        same = F.lit(True)
+        for column, value in rule.items():
+            same = same & F.coalesce(F.col(column) == value, F.lit(False))
+        out = out | same
+    return out
+
+
+def decisions(universe: DataFrame, decided: DataFrame, key: str, candidate: Sequence[str], name: str = "decision", none: str = "sin_match") -> DataFrame:
+    """The decision on every row of the universe; without one, or with ``none``, the candidate's columns are null."""
+    joined = universe.select(key).join(decided.select(key, *candidate, name), key, "left")
+    told = F.coalesce(F.col(name), F.lit(none))
+    return joined.select(key, *[F.when(told != none, F.col(c)).alias(c) for c in candidate], told.alias(name))
+
+
+def first_method(methods: dict[str, str]) -> tuple[Column, Column]:
+    """The first target that is not null among columns in order, and the name of its method (null for none)."""
+    target, label = None, None
+    for name, column in methods.items():
+        target = F.col(column) if target is None else F.coalesce(target, F.col(column))
+        label = F.when(F.col(column).isNotNull(), name) if label is None else label.when(F.col(column).isNotNull(), name)
+    return target, label
+
+
+def recall_at(truth: DataFrame, candidates: DataFrame, key: str, target: str, by: Sequence[str]) -> DataFrame:
+    """``by, n, hallados, recall``: share of true targets that stand among a key's candidates, however they rank."""
+    found = candidates.select(key, target).distinct().withColumn("_hay", F.lit(True))
+    told = truth.join(found, [key, target], "left").groupBy(*by).agg(F.count("*").alias("n"), F.count("_hay").alias("hallados"))
+    return told.withColumn("recall", ratio("hallados", "n"))
+
+
 def words_covered(a: Column, b: Column) -> Column:
     """True where every word of array ``a`` is in ``b``; an empty ``a`` is covered."""
     return F.size(F.array_except(a, b)) == 0

@@ -85,6 +85,30 @@ def missing_days(days: DataFrame, column: str, table: str) -> DataFrame:
     return told.select(F.lit(table).alias("tabla"), F.lit(f"sin_huecos_{column}").alias("prueba"), F.lit("error").alias("severidad"), F.coalesce("fallas", F.lit(0)).cast("bigint").alias("fallas"))
 
 
+def least_precision(judged: DataFrame, right: str, floor: float, table: str, severity: str = "error") -> DataFrame:
+    """One failure where the share of right rows among the judged ones lies below the floor; none without judged rows."""
+    told = judged.where(F.col(right).isNotNull()).agg(F.try_divide(F.count_if(F.col(right)).cast("double"), F.count("*")).alias("p"))
+    return told.select(F.lit(table).alias("tabla"), F.lit(f"precision_{right}").alias("prueba"), F.lit(severity).alias("severidad"), F.coalesce(F.col("p") < floor, F.lit(False)).cast("bigint").alias("fallas"))
+
+
+def complete_ranks(ranked: DataFrame, by: Sequence[str], rank: str, k: int, table: str, severity: str = "error") -> DataFrame:
+    """Groups whose ranks are not exactly 1 to k."""
+    told = ranked.groupBy(*by).agg(F.count("*").alias("n"), F.count_distinct(rank).alias("d"), F.min(rank).alias("a"), F.max(rank).alias("b"))
+    return _result(told.where(~((F.col("n") == k) & (F.col("d") == k) & (F.col("a") == 1) & (F.col("b") == k))), table, f"rangos_{rank}", severity)
+
+
+def covered(wanted: DataFrame, held: DataFrame, key: Sequence[str], table: str, severity: str = "error") -> DataFrame:
+    """Wanted keys that the other table lacks."""
+    return _result(wanted.select(*key).distinct().join(held.select(*key).distinct(), list(key), "left_anti"), table, "cobertura_" + "_".join(key), severity)
+
+
+def complete_grid(cells: DataFrame, columns: Sequence[str], table: str, severity: str = "error") -> DataFrame:
+    """How many cells of the full grid of the columns' values are missing or repeated."""
+    counts = cells.agg(F.count("*").alias("n"), F.count_distinct(*columns).alias("d"), *[F.count_distinct(c).alias(f"c{i}") for i, c in enumerate(columns)])
+    whole = reduce(Column.__mul__, [F.col(f"c{i}") for i in range(len(columns))])
+    return counts.select(F.lit(table).alias("tabla"), F.lit("malla_" + "_".join(columns)).alias("prueba"), F.lit(severity).alias("severidad"), ((whole - F.col("d")) + (F.col("n") - F.col("d"))).alias("fallas"))
+
+
 def report(*results: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, results)
 

@@ -141,3 +141,27 @@ def previous_month(df: DataFrame, by: Sequence[str], month: str, value: str, nam
     """``value`` of the calendar month before, null where that month is missing (a lag would skip gaps)."""
     before = df.select(*by, F.add_months(month, 1).alias(month), F.col(value).alias(name))
     return df.join(before, [*by, month], "left")
+
+
+def all_hold(df: DataFrame, by: Sequence[str], test: Column, name: str) -> DataFrame:
+    """Groups with whether a test holds in all of their rows where it can be told; null where it never can."""
+    return df.groupBy(*by).agg(F.bool_and(test).alias(name))
+
+
+def distinct_keys(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row: ``filas``, and ``llaves``, the distinct combinations of columns without nulls."""
+    return df.agg(F.count("*").alias("filas"), F.count_distinct(*columns).alias("llaves"))
+
+
+def labelled_values(df: DataFrame, value: str, label: str) -> DataFrame:
+    """Each distinct value once, under its least label."""
+    return df.where(F.col(value).isNotNull()).groupBy(value).agg(F.min(label).alias(label))
+
+
+def translated(df: DataFrame, column: str, table: DataFrame, source: str, target: str) -> tuple[DataFrame, DataFrame]:
+    """``df`` with ``column`` put in the table's terms (null where it has none), and the values that the table lacks."""
+    known = table.select(F.trim(source).alias("_de"), F.col(target).alias("_a")).where("_de is not null").dropDuplicates(["_de"])
+    key = F.trim(column)
+    done = df.join(known, key == F.col("_de"), "left").withColumn(column, F.col("_a")).select(*df.columns)
+    missing = df.select(key.alias(column)).where(F.col(column).isNotNull()).distinct().join(known, F.col(column) == F.col("_de"), "left_anti")
+    return done, missing

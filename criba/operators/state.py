@@ -145,3 +145,69 @@ def load_decisions(files: DataFrame, manifest: DataFrame, key: str = "ruta_orige
 def manifest_summary(manifest: DataFrame, by: Sequence[str]) -> DataFrame:
     """Files and rows of the current entries by status and the given columns."""
     return latest_entries(manifest).groupBy("estado", *by).agg(F.count("*").alias("archivos"), F.sum("filas").alias("filas"))
+
+
+def held_copies(files: DataFrame, objects: DataFrame, key: str = "ruta_origen", checksum: str = "md5") -> DataFrame:
+    """``files`` with ``ya_esta``: whether the target already holds an object of that path and checksum.
+
+    objects: ``key`` and ``checksum`` of what lies at the target. A safety net for files that the manifest does
+    not know: one already there need not be sent again.
+    """
+    there = objects.select(key, checksum).where(F.col(checksum).isNotNull()).distinct().withColumn("ya_esta", F.lit(True))
+    return files.join(there, [key, checksum], "left").withColumn("ya_esta", F.coalesce("ya_esta", F.lit(False))).select(*files.columns, "ya_esta")
+
+
+def load_plan(profiles: DataFrame, declared: DataFrame, target: str, shop: str | None = None, month: str | None = None, until: str | None = None) -> DataFrame:
+    """What a load would do, without doing it: ``ruta, destino, accion, motivo, marcas``.
+
+    profiles: ``ruta, filas, fuera_de_mes, mes_mayoritario``. An empty file is skipped. ``marcas``, in order: ``SIN_HEADER``,
+    ``DESCARTA:<columnas>``, ``SOSPECHA_COPIA``, ``DESFASE_MES:<filas>`` (with the month of most rows where it is another), ``VACIO``.
+    """
+    told = profiles.join(declared.select("ruta", "tienda", "anio_mes", "sin_header", "columnas_descartar", "copia_de").dropDuplicates(["ruta"]), "ruta")
+    for column, value in (("tienda", shop), ("anio_mes", month)):
+        told = told if value is None else told.where(F.col(column) == value)
+    told = told if until is None else told.where(F.col("anio_mes") <= until)
+    empty = F.coalesce("filas", F.lit(0)) == 0
+    other = F.when(F.col("mes_mayoritario") != F.col("anio_mes"), F.concat(F.lit("->"), F.col("mes_mayoritario"))).otherwise(F.lit(""))
+    marks = F.array(
+        F.when(F.coalesce("sin_header", F.lit(False)), "SIN_HEADER"),
+        F.when(F.size(F.coalesce("columnas_descartar", F.array().cast("array<string>"))) > 0, F.concat(F.lit("DESCARTA:"), F.array_join("columnas_descartar", ","))),
+        F.when(F.col("copia_de").isNotNull(), "SOSPECHA_COPIA"),
+        F.when(F.col("fuera_de_mes") > 0, F.concat(F.lit("DESFASE_MES:"), F.col("fuera_de_mes").cast("string"), other)),
+        F.when(empty, "VACIO"),
+    )
+    name = F.regexp_replace(F.element_at(F.split("ruta", "/"), -1), r"\.[^.]*$", ".parquet")
+    place = F.concat(F.lit(target.rstrip("/")), F.lit("/tienda="), F.col("tienda"), F.lit("/anio_mes="), F.col("anio_mes"), F.lit("/"), name)
+    return told.select("ruta", place.alias("destino"), F.when(empty, "omitir").otherwise("cargar").alias("accion"), F.when(empty, "sin filas").alias("motivo"), F.array_compact(marks).alias("marcas"))
+
+
+def outcomes(decided: DataFrame, results: DataFrame, key: str = "ruta_origen") -> DataFrame:
+    """How each decided file ended: ``key, version, desenlace, estado``; ``estado`` is what the manifest records.
+
+    results: ``key, filas, escritas, error`` of the files that were loaded. ``saltado`` (nothing recorded), ``procesado`` (OK, or
+    VACIO without rows), ``fallido``: ERROR where loading failed, and nothing recorded where rows were
+    lost on the way, so that the file is tried again from the start.
+    """
+    told = decided.join(results.select(key, F.col("filas").alias("_f"), F.col("escritas").alias("_w"), F.col("error").alias("_e")), key, "left")
+    skipped, failed = F.col("accion") == "omitir", F.col("_e").isNotNull()
+    lost = ~F.col("_f").eqNullSafe(F.col("_w"))
+    return told.select(
+        key,
+        "version",
+        F.when(skipped, "saltado").when(failed | lost, "fallido").otherwise("procesado").alias("desenlace"),
+        F.when(skipped, None).when(failed, "ERROR").when(lost, None).when(F.col("_f") == 0, "VACIO").otherwise("OK").alias("estado"),
+    )
+
+
+def next_batch(wanted: DataFrame, bank: DataFrame, key: str, size: int) -> DataFrame:
+    """The next ``size`` rows whose key the bank lacks, in order of the key: the same at every run. The limit is the batch."""
+    return wanted.dropDuplicates([key]).join(bank.select(key).distinct(), key, "left_anti").orderBy(key).limit(size)
+
+
+def append_to_bank(bank: DataFrame, made: DataFrame, key: str, status: str) -> DataFrame:
+    """Rows to append to a bank keyed by hash: those that came out without an error and that it lacks.
+
+    A row with a status text, or without a key, stays out and so is asked for again. Existing rows are never replaced.
+    """
+    good = made.where((F.coalesce(status, F.lit("")) == "") & F.col(key).isNotNull()).dropDuplicates([key])
+    return good.drop(status).join(bank.select(key).distinct(), key, "left_anti")

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import time
+from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -47,7 +49,8 @@ def with_fallback(primary: DataFrame, second: DataFrame, key: str, columns: list
 
 def links(page: Column | str, site: str | None = None) -> Column:
     """Distinct canonical URLs of a page's links, in order of the alphabet."""
-    found = F.regexp_extract_all(as_column(page), F.lit(r'(?i)<a\b[^>]*?\bhref\s*=\s*"([^"]+)"'), F.lit(1))
+    found = F.regexp_extract_all(as_column(page), F.lit(r"""(?i)<a\b[^>]*?\bhref\s*=\s*["']?[^"'\s>]+"""), F.lit(0))
+    found = F.transform(found, lambda tag: F.regexp_extract(tag, r"""(?i)\bhref\s*=\s*["']?([^"'\s>]+)""", 1))
     return F.array_sort(F.array_distinct(F.transform(found, lambda u: canonical_url(u, site))))
 
 
@@ -108,3 +111,97 @@ def select_texts(pages: DataFrame, page: str, wanted: dict[str, tuple[str | None
             yield batch.assign(**{n: [r[i] for r in rows] for i, n in enumerate(names)})
 
     return pages.mapInPandas(run, schema)
+
+
+def attribute(page: Column | str, tag: str, css: str, name: str) -> Column:
+    """Value of an attribute of the first element of a tag and class; null for none."""
+    element = F.regexp_extract(as_column(page), rf"""(?is)<{tag}\b[^>]*\bclass\s*=\s*["'][^"']*(?<![\w-]){css}(?![\w-])[^>]*>""", 0)
+    return F.nullif(F.regexp_extract(element, rf"""(?i)\b{name}\s*=\s*["']([^"']*)["']""", 1), F.lit(""))
+
+
+def _element_text(page: Column, tag: str) -> Column:
+    inner = F.regexp_extract(page, rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}>", 1)
+    return F.nullif(F.trim(F.regexp_replace(F.regexp_replace(inner, r"<[^>]*>", " "), r"\s+", " ")), F.lit(""))
+
+
+def struck_and_current(page: Column | str, struck: tuple[str, ...] = ("del", "s", "strike"), current: tuple[str, ...] = ("ins", "bdi", "b")) -> tuple[Column, Column]:
+    """Texts of the regular and the current price of a page that strikes the former out.
+
+    The regular price stands in the first element of ``struck``, the current one in the first of ``current`` outside it;
+    a page that shows one price only has it twice, one without any has nulls.
+    """
+    p = as_column(page)
+    old = F.coalesce(*[_element_text(p, t) for t in struck])
+    rest = p
+    for t in struck:
+        rest = F.regexp_replace(rest, rf"(?is)<{t}\b[^>]*>.*?</{t}>", " ")
+    now = F.coalesce(*[_element_text(rest, t) for t in current])
+    return F.coalesce(old, now), F.coalesce(now, old)
+
+
+def fetched(requests: DataFrame, url: str, get: Callable[[str], tuple[int, str]], tries: int = 3, wait: float = 1.0, again: tuple[int, ...] = (408, 429, 468, 500, 502, 503, 504)) -> DataFrame:
+    """``requests`` with ``estado`` and ``respuesta`` of what ``get`` brings for each URL.
+
+    ``get`` (status and text of a URL) is the caller's: the library opens no connections. A status in ``again``, or an
+    exception, is tried up to ``tries`` times with doubled waits; after that ``estado`` is the last status, or -1, and ``respuesta`` null.
+    """
+    schema = StructType([*requests.schema.fields]).add("estado", "int").add("respuesta", "string")
+
+    def one(address: str | None) -> tuple[int | None, str | None]:
+        if not address:
+            return None, None
+        status = -1
+        for i in range(tries):
+            try:
+                status, text = get(address)
+                if status not in again:
+                    return status, text if 200 <= status < 300 else None
+            except Exception:  # noqa: BLE001 - one page must not end the job
+                status = -1
+            if i + 1 < tries:
+                time.sleep(wait * 2**i)
+        return status, None
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            answers = [one(a) for a in batch[url]]
+            yield batch.assign(estado=pd.array([a[0] for a in answers], dtype="Int32"), respuesta=[a[1] for a in answers])
+
+    return requests.mapInPandas(run, schema)
+
+
+def paged(requests: DataFrame, url: str, get: Callable[[str], tuple[int, str]], items: Callable[[str], list[str]], first: int = 1, most: int = 10_000, **more) -> DataFrame:
+    """One row an item of paged answers: ``requests``, ``pagina`` and ``item``, pages asked for until one has none.
+
+    ``url`` holds a template with ``{page}``; ``items`` takes the items, as texts, out of an answer. ``most`` guards against
+    a shop that never ends and raises where it is reached. A page that fails ends its list.
+    """
+    schema = StructType([*requests.schema.fields]).add("pagina", "int").add("item", "string")
+    tries, wait = more.get("tries", 3), more.get("wait", 1.0)
+
+    def answer(address: str) -> str | None:
+        for i in range(tries):
+            try:
+                status, text = get(address)
+                if 200 <= status < 300:
+                    return text
+            except Exception:  # noqa: BLE001 - one page must not end the job
+                pass
+            if i + 1 < tries:
+                time.sleep(wait * 2**i)
+        return None
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for i in range(len(batch)):
+                row = batch.iloc[[i]]
+                for page in range(first, first + most + 1):
+                    if page == first + most:
+                        raise ValueError(f"{row[url].iloc[0]}: over {most} pages")
+                    text = answer(row[url].iloc[0].replace("{page}", str(page)))
+                    found = items(text) if text is not None else []
+                    if not found:
+                        break
+                    yield row.loc[row.index.repeat(len(found))].assign(pagina=np.int32(page), item=found)
+
+    return requests.mapInPandas(run, schema)
