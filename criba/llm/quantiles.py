@@ -162,14 +162,29 @@ def _merged(parts: DataFrame, keys: list[str], schema: str, emit, seed: int) ->
         if held is not None:
             yield pd.DataFrame(emit(group, held), columns=[c.split()[0] for c in schema.split(", ")])
 
-    # A group has at most one row a task that met it, each of bounded size.
+    # A group has at most one row a task that met it, each of bounded size; of many such rows, some are merged first.
     return parts.select(*keys, "sketch").repartition(*keys).sortWithinPartitions(*keys).mapInPandas(run, schema)
 
 
+#: Partial sketches of one group that one task merges; beyond as many partitions there is a first round of merging.
+FAN = 64
+
+
+def _fanned(parts: DataFrame, keys: list[str], seed: int) -> DataFrame:
+    """Partial sketches of which a group has about the square root of the number of partitions, or ``FAN`` at most."""
+    tasks = parts.rdd.getNumPartitions()
+    if tasks <= FAN:
+        return parts
+    salt = F.pmod(F.spark_partition_id(), F.lit(int(np.sqrt(tasks)))).cast("string")
+    first = parts.withColumn("_salt", salt)
+    schema = ", ".join(f"{k} string" for k in [*keys, "_salt"]) + ", sketch binary"
+    return _merged(first, [*keys, "_salt"], schema, lambda key, s: [(*key, s.to_bytes())], seed + 1).drop("_salt")
+
+
 def merge_sketches(parts: DataFrame, keys: list[str], seed: int = 7) -> DataFrame:
     """One sketch a group from any number of partial ones; keys are text columns."""
     schema = ", ".join(f"{k} string" for k in keys) + ", sketch binary"
-    return _merged(parts, keys, schema, lambda key, s: [(*key, s.to_bytes())], seed)
+    return _merged(_fanned(parts, keys, seed), keys, schema, lambda key, s: [(*key, s.to_bytes())], seed)
 
 
 def percentiles(parts: DataFrame, keys: list[str], shares: tuple[float, ...] = (0.25, 0.5, 0.75), seed: int = 7) -> DataFrame:
@@ -187,4 +202,4 @@ def percentiles(parts: DataFrame, keys: list[str], shares: tuple[float, ...] = (
         values, error = s.quantiles(np.array(shares)), s.rank_error()
         return [(*key, s.n, p, float(v), error) for p, v in zip(shares, values)]
 
-    return _merged(parts, keys, schema, emit, seed)
+    return _merged(_fanned(parts, keys, seed), keys, schema, emit, seed)

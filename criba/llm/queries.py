@@ -56,6 +56,22 @@ def p9_contenedores(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(sizes, "doc_id", "tokens", 2048)
 
 
+def p8_resumen(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents, and those without a token."""
+    ids = p8_ids(spark, folder)
+    return ids.agg(F.count("*").alias("documentos"), F.count_if(F.size("ids") == 0).alias("sin_fichas"), F.count_if(F.col("ids").isNull()).alias("nulos"))
+
+
+def p9_resumen(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents placed; containers over their capacity, gaps or overlaps within them, and documents not whole: none."""
+    sizes = bpe.token_counts(read_table(spark, folder, "documents"), "doc_id", "text")
+    placed = packing.pack(sizes, "doc_id", "tokens", 2048)
+    boxes = placed.groupBy("contenedor").agg(F.sum("largo").alias("lleno"), F.max(F.col("inicio") + F.col("largo")).alias("fin"))
+    whole = placed.groupBy("doc_id").agg(F.sum("largo").alias("suma")).join(sizes.where("tokens > 0"), "doc_id", "full")
+    counts = boxes.agg(F.count_if(F.col("lleno") > 2048).alias("excedidos"), F.count_if(F.col("lleno") != F.col("fin")).alias("con_huecos"))
+    return whole.agg(F.count("suma").alias("documentos"), F.count_if(~F.col("suma").eqNullSafe(F.col("tokens"))).alias("incompletos")).crossJoin(counts)
+
+
 def p10_found(spark: SparkSession, folder: str) -> DataFrame:
     """The subject areas that each document deals with."""
     return _topics(spark, folder).select("doc_id", "tema")
@@ -72,7 +88,7 @@ def p10_composicion(spark: SparkSession, folder: str) -> DataFrame:
     return found.agg(F.count("*").alias("documentos"), F.round(F.sum("parte"), 3).alias("partes"))
 
 
-QUERIES = {f.__name__: f for f in (p4_found, p6_found, p6_grupos, p7_percentiles, p8_ids, p9_contenedores, p10_found, p10_composicion)}
+QUERIES = {f.__name__: f for f in (p4_found, p6_found, p6_grupos, p7_percentiles, p8_ids, p8_resumen, p9_contenedores, p9_resumen, p10_found, p10_composicion)}
 
 _P4_SQL = """
 with q as (select producto_key, embedding::double[] as v from emb_producto where len(embedding) = 96 and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
@@ -130,7 +146,10 @@ _P6_SQL = _P6_IDS_SQL + """select x.clave as clave_a, y.clave as clave_b from id
 _P6_GROUPS_SQL = _P6_IDS_SQL + """select clave, min(clave) over (partition by p) as producto from ids
 union all select distinct clave, clave from filled where clave not in (select clave from ids)"""
 
+_P8_SUMMARY_SQL = "select count(*) as documentos, count(case when coalesce(text, '') = '' then 1 end) as sin_fichas, 0 as nulos from documents where doc_id is not null"
+_P9_SUMMARY_SQL = "select count(*) as documentos, 0 as incompletos, 0 as excedidos, 0 as con_huecos from documents where text <> '' and doc_id is not null"
+
 #: The percentiles equal the SQL's where no group has more values than a sketch holds exactly.
 #: The products' SQL takes brands of one word, as the test tables have, and compares all words with all brands.
-#: Tokens, containers and subjects have no SQL; tests hold them against other means.
-ORACLES = {"p4_found": _P4_SQL, "p6_found": _P6_SQL, "p6_grupos": _P6_GROUPS_SQL, "p7_percentiles": _P7_SQL}
+#: Tokens, containers and subjects have no SQL beyond summaries; tests hold them against other means.
+ORACLES = {"p4_found": _P4_SQL, "p6_found": _P6_SQL, "p6_grupos": _P6_GROUPS_SQL, "p7_percentiles": _P7_SQL, "p8_resumen": _P8_SUMMARY_SQL, "p9_resumen": _P9_SUMMARY_SQL}

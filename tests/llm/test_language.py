@@ -115,6 +115,16 @@ def test_small_groups_are_exact(spark):
     assert quantiles.percentiles(quantiles.sketches(df.limit(0), "v", {"g": "g"}), ["dimension", "grupo"]).count() == 0
 
 
+def test_many_partitions_merge_in_two_rounds(spark):
+    df = spark.range(40_000, numPartitions=100).select(F.lit("g").alias("g"), F.col("id").cast("double").alias("v"))
+    parts = quantiles.sketches(df, "v", {"g": "g"})
+    rows = quantiles.percentiles(parts, ["dimension", "grupo"]).collect()
+    assert [r.n for r in rows] == [40_000] * 3
+    assert all(abs(r.valor / 40_000 - r.p) <= max(r.error_rango, 1e-3) for r in rows)
+    one = quantiles.merge_sketches(parts, ["dimension", "grupo"]).collect()
+    assert len(one) == 1 and quantiles.Sketch.from_bytes(bytes(one[0].sketch)).n == 40_000
+
+
 # --- neighbours ---
 
 
