@@ -51,6 +51,18 @@ def squeeze(c: Column | str) -> Column:
     return F.translate(as_column(c), WHITE, "")
 
 
+#: Marks of no width: they part no words.
+_NO_WIDTH = "\u200b\u200c\u200d\u2060\ufeff"
+
+
+def single_spaced(c: Column | str) -> Column:
+    """White space of any kind between words as one blank, none at the ends; marks of no width go."""
+    wide = "".join(w for w in WHITE if w not in _NO_WIDTH)
+    # Characters beyond the replacement's length are removed.
+    blank = F.translate(as_column(c), wide + _NO_WIDTH, " " * len(wide))
+    return F.trim(F.regexp_replace(blank, " {2,}", " "))
+
+
 def is_blank(c: Column | str) -> Column:
     """True for null, empty and all-white-space texts."""
     return F.coalesce(strip(c), F.lit("")) == ""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from criba.functions.text import squeeze
+from criba.functions.text import single_spaced, squeeze
 from criba.operators import badrows, drift
 from criba.operators.history import attribute_versions
 from criba.operators.spikes import flag_spikes
@@ -50,11 +50,13 @@ def p3_validas(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def listing_content() -> dict[str, Column]:
-    """What counts as content of a listing: no letter case, no white space, no URL query."""
-    plain = lambda c: F.lower(squeeze(c))
-    no_query = lambda c: F.regexp_replace(plain(c), r"\?[^#]*", "")
+    """What counts as content of a listing: no letter case, no kind or amount of white space, no URL query.
+
+    Words that a blank parts are other words than one without it: ``5 MG`` is a new wording of ``5MG``.
+    """
+    no_query = lambda c: F.regexp_replace(F.lower(squeeze(c)), r"\?[^#]*", "")
     return {
-        "descripcion": plain("descripcion"),
+        "descripcion": F.lower(single_spaced("descripcion")),
         "url_producto_actual": no_query("url_producto_actual"),
         "url_imagen_actual": no_query("url_imagen_actual"),
     }
@@ -120,7 +122,7 @@ union all select _archivo_origen, _fila_num, 'fecha_captura' from whole where m
 ).replace("with recursive_free as (select 1),\n", "with ")
 
 _P5_SQL = r"""
-with norm as (select producto_key, fecha_corte, cargado_en, lower(regexp_replace(descripcion, '[\s\x{a0}]+', '', 'g')) as d,
+with norm as (select producto_key, fecha_corte, cargado_en, trim(lower(regexp_replace(descripcion, '[\s\x{a0}]+', ' ', 'g'))) as d,
     regexp_replace(lower(regexp_replace(url_producto_actual, '[\s\x{a0}]+', '', 'g')), '\?[^#]*', '') as u, regexp_replace(lower(regexp_replace(url_imagen_actual, '[\s\x{a0}]+', '', 'g')), '\?[^#]*', '') as i from dim_producto_corte),
 last as (select * from norm qualify row_number() over (partition by producto_key, fecha_corte order by cargado_en desc, d desc, u desc, i desc) = 1),
 filled as (select producto_key, fecha_corte, last_value(d ignore nulls) over w as d, last_value(u ignore nulls) over w as u, last_value(i ignore nulls) over w as i from last
