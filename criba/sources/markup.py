@@ -145,7 +145,7 @@ def fetched(requests: DataFrame, url: str, get: Callable[[str], tuple[int, str]]
     ``get`` (status and text of a URL) is the caller's: the library opens no connections. A status in ``again``, or an
     exception, is tried up to ``tries`` times with doubled waits; after that ``estado`` is the last status, or -1, and ``respuesta`` null.
     """
-    schema = StructType([*requests.schema.fields]).add("estado", "int").add("respuesta", "string")
+    schema = StructType([*requests.schema.fields]).add("estado", "integer").add("respuesta", "string")
 
     def one(address: str | None) -> tuple[int | None, str | None]:
         if not address:
@@ -176,7 +176,7 @@ def paged(requests: DataFrame, url: str, get: Callable[[str], tuple[int, str]],
     ``url`` holds a template with ``{page}``; ``items`` takes the items, as texts, out of an answer. ``most`` guards against
     a shop that never ends and raises where it is reached. A page that fails ends its list.
     """
-    schema = StructType([*requests.schema.fields]).add("pagina", "int").add("item", "string")
+    schema = StructType([*requests.schema.fields]).add("pagina", "integer").add("item", "string")
     tries, wait = more.get("tries", 3), more.get("wait", 1.0)
 
     def answer(address: str) -> str | None:

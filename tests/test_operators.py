@@ -203,6 +203,23 @@ def test_upsert_and_versions(spark, tmp_path):
     table.merge(changes, ["k"])
     table.merge(changes, ["k"])
     assert table.read().count() == 3
+    versions = lambda: [p for p in (tmp_path / "t").iterdir() if p.name.startswith("v-")]
+    assert len(versions()) == 2 and not list((tmp_path / "t").glob(".after-*"))
+    # A writer that read a former version is refused and leaves the table as it is.
+    seen = table._pointed()
+    table.replace(held)
+    with pytest.raises(state.StaleVersionError):
+        table._publish(changes, (), seen)
+    assert table.read().count() == 2 and len(versions()) == 2
+
+
+def test_duplicates_are_numbered_across_shares(spark):
+    rows = [("x", f, i) for f in ("a", "b", "c", None) for i in range(5)] + [(None, "a", 1), (None, "b", 1), ("y", "a", 9)]
+    df = spark.createDataFrame(rows, "v string, f string, i int")
+    got = {(r.v, r.f, r.i): r.rn for r in relational.numbered_duplicates(df, ["v"], ["f", "i"]).collect()}
+    order = sorted((r for r in rows if r[0] == "x"), key=lambda r: (r[1] is not None, r[1] or "", r[2]))
+    assert [got[r] for r in order] == list(range(1, 21))
+    assert (got[(None, "a", 1)], got[(None, "b", 1)], got[("y", "a", 9)]) == (1, 2, 1)
 
 
 def test_load_decisions(spark):

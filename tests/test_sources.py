@@ -81,6 +81,35 @@ def test_answers(spark):
     assert {tuple(r) for r in markup.with_fallback(one, two, "k", ["v"]).collect()} == {("a", 5), ("b", 1)}
 
 
+def test_attributes_and_struck_prices(spark):
+    rows = [
+        (1, """<a href='/uno?x=1'>u</a><a href=/dos>d</a><span class="precio-x"></span><meta class="p precio" content="12.50">"""),
+        (2, "<p><del><span>$ 90.00</span></del> <ins>$ <b>70.00</b></ins></p>"), (3, "<b>$ 50.00</b>"), (4, "nada"), (5, None),
+    ]
+    df = spark.createDataFrame(rows, "i int, html string")
+    old, now = markup.struck_and_current("html")
+    got = {r.i: (r.l, r.c, r.a, r.b) for r in df.select("i", markup.links("html", "https://s").alias("l"), markup.attribute("html", "meta", "precio", "content").alias("c"), old.alias("a"), now.alias("b")).collect()}
+    assert got[1] == (["https://s/dos", "https://s/uno"], "12.50", None, None)
+    assert got[2][2:] == ("$ 90.00", "$ 70.00") and got[3][2:] == ("$ 50.00", "$ 50.00") and got[4][2:] == got[5][2:] == (None, None)
+
+
+def test_fetching_tries_again_and_pages_end(spark):
+    def get(url):
+        if url.endswith("lost"):
+            raise OSError("gone")
+        if url.endswith("busy"):
+            return 468, ""
+        page = int(url.rsplit("=", 1)[1]) if "=" in url else 1
+        return (200, ",".join(f"{page}{c}" for c in "ab")) if page <= 2 else (200, "")
+
+    asked = spark.createDataFrame([("u/ok",), ("u/lost",), ("u/busy",), (None,)], "url string")
+    got = {r.url: (r.estado, r.respuesta) for r in markup.fetched(asked, "url", get, tries=2, wait=0.0).collect()}
+    assert got == {"u/ok": (200, "1a,1b"), "u/lost": (-1, None), "u/busy": (468, None), None: (None, None)}
+    lists = spark.createDataFrame([("u?page={page}",), ("lost",)], "url string")
+    items = markup.paged(lists, "url", get, lambda text: [x for x in text.split(",") if x], tries=1, wait=0.0)
+    assert sorted((r.pagina, r.item) for r in items.collect()) == [(1, "1a"), (1, "1b"), (2, "2a"), (2, "2b")]
+
+
 def test_sinks(spark, tmp_path):
     path = str(tmp_path / "t")
     df = spark.createDataFrame([("s", "2026-01", 1), ("s", "2026-02", 2)], "tienda string, anio_mes string, v int")
@@ -89,6 +118,16 @@ def test_sinks(spark, tmp_path):
     assert sorted((r.anio_mes, r.v) for r in files.partitioned_parquet(spark, path).collect()) == [("2026-01", 1), ("2026-02", 9)]
     with pytest.raises(sinks.ReconciliationError):
         sinks.write_partitioned(df, path, ["tienda", "anio_mes"], expected=3)
+    # What does not reconcile is not published.
+    assert sorted((r.anio_mes, r.v) for r in files.partitioned_parquet(spark, path).collect()) == [("2026-01", 1), ("2026-02", 9)]
+    assert not [p.name for p in (tmp_path / "t").iterdir() if p.name.startswith("_nuevo")]
+    assert sinks.write_partitioned(df, str(tmp_path / "flat"), []) == 2 and sinks.write_partitioned(df.limit(1), str(tmp_path / "flat"), []) == 1
+    assert spark.read.parquet(str(tmp_path / "flat")).count() == 1
+    sinks.clustered_table(df, "criba_agrupada", ["tienda"], 4)
+    assert spark.table("criba_agrupada").count() == 2
+    spark.sql("drop table criba_agrupada")
+    sinks.audit_sheet(df, str(tmp_path / "hoja"), "veredicto")
+    assert spark.read.option("header", "true").csv(str(tmp_path / "hoja")).columns == ["tienda", "anio_mes", "v", "veredicto"]
     sinks.side_outputs(df, F.when(F.col("v") == 1, True), str(tmp_path / "ok"), str(tmp_path / "bad"))
     assert (spark.read.parquet(str(tmp_path / "ok")).count(), spark.read.parquet(str(tmp_path / "bad")).count()) == (1, 1)
     (tmp_path / "raw.bin").write_bytes(b"abc")
