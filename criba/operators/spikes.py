@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -26,6 +27,7 @@ class SpikeRules:
     least_moves     least number of such changes
     season_hits     least number of like dips, one period apart, that make a dip regular
     block_days, halo_days   width of the time blocks a source is cut into, and of their overlap
+    block_rows      readings of a source from which its blocks, and their overlap, get narrower in proportion
     """
 
     low: float = 0.05
@@ -41,6 +43,7 @@ class SpikeRules:
     season_hits: int = 3
     block_days: int = 7_305
     halo_days: int = 731
+    block_rows: int = 1_000_000
 
 
 def _equal_runs(v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -141,17 +144,24 @@ def flag_spikes(df: DataFrame, source: list[str], time: str, value: str, rules:
     in order of value. Other columns are ignored. An empty table gives no rows.
 
     A source is cut into blocks of time that overlap by ``halo_days``, so that one
-    with very many readings spreads over many tasks; a group holds one block.
+    with very many readings spreads over many tasks; a group holds one block. Of a source
+    with more than ``block_rows`` readings a block spans as many days as so many readings do, a day at
+    least; its regular dips are told within that.
     """
-    block, halo = rules.block_days, rules.halo_days
     day = F.datediff(F.col(time).cast("date"), F.lit("1970-01-01").cast("date"))
     keys = [F.col(c).alias(f"k{i}") for i, c in enumerate(source)]
     names = [f"k{i}" for i in range(len(source))]
-    own = F.floor(F.col("d") / block)
+    known = df.select(*keys, day.alias("d"), F.col(value).cast("double").alias("v")).where("d is not null and v is not null and not isnan(v)")
+    sizes = known.groupBy(*names).agg(F.count("*").alias("n"), (F.max("d") - F.min("d") + 1).alias("dias")).where(F.col("n") > rules.block_rows)
+    width = F.greatest(F.lit(1), F.least(F.lit(rules.block_days), F.floor(F.col("dias") * F.lit(rules.block_rows) / F.col("n")))).cast("int")
+    # At most one of them for every ``block_rows`` readings, so it is small beside any table; else the plain block holds.
+    dense = F.broadcast(sizes.select(*[F.col(c).alias(f"h{i}") for i, c in enumerate(names)], width.alias("ancho")))
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"h{i}")) for i, c in enumerate(names)], F.lit(True))
+    block = F.coalesce("ancho", F.lit(rules.block_days))
+    halo = F.least(F.lit(rules.halo_days), block)
     readings = (
-        df.select(*keys, day.alias("d"), F.col(value).cast("double").alias("v"))
-        .where("d is not null and v is not null and not isnan(v)")
-        .withColumn("own", own)
+        known.join(dense, same, "left")
+        .withColumn("own", F.floor(F.col("d") / block))
         .withColumn(
             "b",
             F.explode(

@@ -108,6 +108,10 @@ def test_blocks_of_time_give_the_same_cases(spark):
     whole = {tuple(r) for r in flag_spikes(df, ["s"], "t", "v", SpikeRules(block_days=100_000)).collect()}
     cut = {tuple(r) for r in flag_spikes(df, ["s"], "t", "v", SpikeRules(block_days=1_500, halo_days=400)).collect()}
     assert whole == cut and len(whole) > 15
+    # A source of many readings gets narrower blocks; others, a null one too, keep theirs.
+    few = df.limit(0).unionByName(spark.createDataFrame([(s, d, x) for s in ("b", None) for d, x in zip(days[:12], [10.0] * 5 + [-1.0] + [10.0] * 6)], df.schema))
+    dense = {tuple(r) for r in flag_spikes(df.unionByName(few), ["s"], "t", "v", SpikeRules(block_rows=100)).collect()}
+    assert dense == whole | {(s, days[5], -1.0, "imposible") for s in ("b", None)}
 
 
 def test_a_run_that_covers_most_of_a_series_is_stuck():
