@@ -224,5 +224,33 @@ _P3_VALID_SQL = (
 select _archivo_origen, _fila_num, {", ".join(_ROLE_NAMES_SQL)} from every anti join (select distinct _archivo_origen, _fila_num from bad) using (_archivo_origen, _fila_num)"""
 )
 
-#: The spike query has no SQL: it is tested against cases written out by hand.
-ORACLES = {"p2_found": _P2_SQL, "p2_esquema_union": _P2_UNION_SQL, "p2_filas": _P2_ROWS_SQL, "p3_found": _P3_SQL, "p3_validas": _P3_VALID_SQL, "p5_found": _P5_SQL, "p5_versiones": _P5_VERSIONS_SQL}
+
+_MIDDLE = "list_aggregate(list_filter([{}], lambda a: a is not null), 'median')"
+
+#: The rules of the spikes by windows over each source's sound readings; sources are of less than twenty years.
+_P1_SQL = f"""
+with r as (select distinct ndf_id, tienda_key, mes, cast(precio as double) as v from mart_precio_cadena_mes where precio is not null and mes is not null),
+m as (select *, median(case when v > 0.05 and v < 50000 then v end) over (partition by ndf_id, tienda_key) as med from r),
+j as (select *, coalesce(v > 0.05 and v < 50000 and v / med < 20 and v / med > 1 / 20.0, false) as bueno from m),
+q as (select *, ln(v) as x, row_number() over o as i, count(*) over (partition by ndf_id, tienda_key) as n, lag(v) over o as v0 from j where bueno window o as (partition by ndf_id, tienda_key order by mes, v)),
+g as (select *, sum(case when v0 is distinct from v then 1 else 0 end) over (partition by ndf_id, tienda_key order by i) as racha from q where n >= 3),
+h as (select *, count(*) over (partition by ndf_id, tienda_key, racha) as largo, row_number() over (partition by ndf_id, tienda_key, racha order by i) - 1 as lugar from g),
+c as (select *, x - lag(x) over o as cambio, lag(largo) over o as largo0, lag(x, 1) over o as l1, lag(x, 2) over o as l2, lag(x, 3) over o as l3, lead(x, 1) over o as f1, lead(x, 2) over o as f2, lead(x, 3) over o as f3, lead(x, 4) over o as f4
+  from h window o as (partition by ndf_id, tienda_key order by i)),
+d as (select *, cambio is not null and not (largo >= 6 and lugar > 0) and cambio <> 0 as movio, cambio is not null and largo < 6 and largo0 < 6 as libre from c),
+e as (select *, count(case when movio and libre then 1 end) over s >= greatest(5, 0.7 * count(case when libre then 1 end) over s) as mueve, median(case when movio then abs(cambio) end) over s as m1, median(abs(cambio)) over s as m2 from d window s as (partition by ndf_id, tienda_key)),
+k as (select *, greatest(0.1, 6 * 1.4826 * (case when mueve then m1 else m2 end) / sqrt(2)) as menor, x - {_MIDDLE.format('l2, l1, f1, f2')} as lejos, {_MIDDLE.format('l3, l2, l1')} as antes from e),
+t as (select *, 1 as cuantos, f1 as sigue, x as ultimo, {_MIDDLE.format('f1, f2, f3')} as luego from k where f1 is not null and abs(cambio) >= 0.5 * menor
+  union all select *, 2, f2, f1, {_MIDDLE.format('f2, f3, f4')} from k where f2 is not null and abs(cambio) >= 0.5 * menor),
+u as (select *, sign(x - antes) as lado, least(sign(x - antes) * (x - antes), sign(x - antes) * (x - luego), sign(x - antes) * (ultimo - antes), sign(x - antes) * (ultimo - luego)) as desvio from t),
+w as (select * from u where desvio >= menor and lado * cambio >= 0.5 * desvio and lado * (ultimo - sigue) >= 0.5 * desvio
+  and least(abs(luego - antes), abs(sigue - l1)) <= 0.5 * (abs(x - (antes + luego) / 2) + abs(ultimo - (antes + luego) / 2)) / 2),
+y as (select a.ndf_id, a.tienda_key, a.i, p.p, count(case when b.lejos <= -0.4 * a.desvio then 1 end) as bajas, count(*) as todas from w a join k b on b.ndf_id is not distinct from a.ndf_id and b.tienda_key is not distinct from a.tienda_key
+  join range(2, 13) p(p) on abs(date_diff('month', a.mes, b.mes)) % p.p = 0 where a.lado < 0 and a.cuantos = 1 group by all),
+z as (select * from w where not (lado < 0 and cuantos = 1 and exists (select 1 from y where y.ndf_id is not distinct from w.ndf_id and y.tienda_key is not distinct from w.tienda_key and y.i = w.i and bajas >= 3 and bajas >= 0.75 * todas))),
+malas as (select ndf_id, tienda_key, mes from j where not bueno
+  union select k.ndf_id, k.tienda_key, k.mes from k join z on k.ndf_id is not distinct from z.ndf_id and k.tienda_key is not distinct from z.tienda_key and k.i between z.i and z.i + z.cuantos - 1
+  union select ndf_id, tienda_key, mes from k where mueve and largo >= 6 and lugar > 0)
+select ndf_id, tienda_key, strftime(mes, '%Y-%m-%d') as mes from malas"""
+
+ORACLES = {"p1_found": _P1_SQL, "p2_found": _P2_SQL, "p2_esquema_union": _P2_UNION_SQL, "p2_filas": _P2_ROWS_SQL, "p3_found": _P3_SQL, "p3_validas": _P3_VALID_SQL, "p5_found": _P5_SQL, "p5_versiones": _P5_VERSIONS_SQL}
