@@ -9,8 +9,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from criba.functions.magnitudes import extract_attributes, magnitudes_agree
 from criba.functions.stats import ratio, wilson
-from criba.functions.text import ngrams, tokens
+from criba.functions.text import clean_text, ngrams, tokens
 from criba.operators.relational import top_k
 
 
@@ -105,6 +106,23 @@ def decision(distance: Column, margin: Column, guard: Column, farma: Column, tau
     return F.when(distance.isNull() | (distance > tau), "sin_match").when(sure, "match").otherwise("cuarentena")
 
 
+def evaluated(candidates: DataFrame, items: DataFrame, key: str, text: str, base: DataFrame, target: str, base_text: str, brand: str, forced: Column) -> DataFrame:
+    """Candidates with what speaks for them: ``guarda_ok, marca_ok, es_forzada``.
+
+    guarda_ok   the magnitudes of both texts contradict each other in nothing
+    marca_ok    the item's text has all words of the catalogue entry's brand; null without a brand
+    es_forzada  ``forced``, a test on the item's columns, holds
+
+    A candidate of an unknown item or entry is left out; a null text says nothing and contradicts nothing.
+    """
+    own = items.select(key, clean_text(text).alias("_t"), F.coalesce(forced, F.lit(False)).alias("es_forzada")).dropDuplicates([key])
+    known = base.select(target, clean_text(base_text).alias("_b"), F.col(brand).alias("_m")).dropDuplicates([target])
+    joined = candidates.join(own, key).join(known, target)
+    guard = magnitudes_agree(extract_attributes("_t"), extract_attributes("_b"))
+    words = words_covered(tokens(clean_text("_m")), tokens("_t"))
+    return joined.select(*candidates.columns, guard.alias("guarda_ok"), F.when(F.col("_m").isNotNull(), F.coalesce(words, F.lit(False))).alias("marca_ok"), "es_forzada")
+
+
 def quarantine_reason(margin: Column, guard: Column, delta: float) -> Column:
     """Why a candidate within its threshold is set aside: ``margen``, else ``guarda``, else ``estrato_forzado``."""
     return F.when(~F.coalesce(margin >= delta, F.lit(False)), "margen").when(~F.coalesce(guard, F.lit(False)), "guarda").otherwise("estrato_forzado")

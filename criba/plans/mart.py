@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from criba import config
 from criba.functions import calendar, magnitudes, stores, text
 from criba.operators import bronze, capture, matching, publish, quality, relational, state
-from criba.plans.reference import _DATE_SQL, _KNN_SQL, _PRICE_SQL, _RAW8, _first_candidates, _neighbours
+from criba.plans.reference import _ATTR_SQL, _DATE_SQL, _KNN_SQL, _PRICE_SQL, _RAW8, _first_candidates, _neighbours
 from criba.session import read_table
 from criba.sources import files
 
@@ -226,6 +226,28 @@ def motivos_cuarentena(spark: SparkSession, folder: str) -> DataFrame:
     return _judged(spark, folder).where("decision = 'cuarentena'").groupBy("motivo").agg(F.count("*").alias("n"))
 
 
+_SIGNALS_SQL = (
+    _ATTR_SQL.replace("select ndf_id, upper(trim(", "select id as ndf_id, upper(trim(").replace("producto || ' ' || presentacion", "txt")
+    .replace("from dim_ndf),", "from (select 'n' || ndf_id as id, any_value(producto || ' ' || presentacion) as txt from dim_ndf group by 1 union all select 'p' || producto_key, any_value(descripcion) from dim_producto group by 1)),", 1).rstrip()
+    + """,
+k as (select try_cast(ndf_id as bigint) % 97 as k, min(ndf_id) as ndf_id from dim_ndf group by 1), n as (select ndf_id, min(producto) as producto from dim_ndf group by 1),
+c as (select p.producto_key, p.tienda_key, n.ndf_id, n.producto from dim_producto p join k on p.dias_observados % 97 = k.k join n on n.ndf_id = k.ndf_id)
+select c.producto_key, c.ndf_id, coalesce(x.dosis_mg = y.dosis_mg, true) and coalesce(x.volumen_ml = y.volumen_ml, true) and coalesce(x.masa_g = y.masa_g, true) and coalesce(x.piezas = y.piezas, true) as guarda_ok,
+  case when c.producto is not null then coalesce(len(list_filter(regexp_extract_all(upper(strip_accents(c.producto)), '[A-Z0-9]+'), lambda w: not list_contains(regexp_extract_all(x.t, '[A-Z0-9]+'), w))) = 0, false) end as marca_ok, c.tienda_key = 3 as es_forzada
+from c join a x on x.ndf_id = 'p' || c.producto_key join a y on y.ndf_id = 'n' || c.ndf_id"""
+)
+
+
+@query(_SIGNALS_SQL)
+def senales_candidato(spark: SparkSession, folder: str) -> DataFrame:
+    """What speaks for a candidate of each listing, one taken from the catalogue by days observed modulo 97."""
+    sold, known = read_table(spark, folder, "dim_producto"), read_table(spark, folder, "dim_ndf")
+    entries = known.groupBy("ndf_id").agg(F.min("producto").alias("producto"), F.first(F.concat("producto", F.lit(" "), "presentacion")).alias("texto"))
+    chosen = entries.groupBy((F.col("ndf_id").try_cast("bigint") % 97).alias("k")).agg(F.min("ndf_id").alias("ndf_id"))
+    chosen = sold.select("producto_key", (F.col("dias_observados") % 97).alias("k")).join(chosen, "k").select("producto_key", "ndf_id")
+    return matching.evaluated(chosen, sold, "producto_key", "descripcion", entries, "ndf_id", "texto", "producto", F.col("tienda_key") == 3)
+
+
 @query("""
 select producto_key, coalesce(a, b, c) as ndf_id, case when a is not null then 'aportadores' when b is not null then 'ean_cruzado' when c is not null then 'vectorial' end as metodo,
   coalesce((tienda_key = 1 and match_method = 'vectorial') or (tienda_key = 2 and match_method = 'aportadores'), false) as forzado

@@ -170,6 +170,21 @@ def reconcile_inventory(found: DataFrame, declared: DataFrame, until: str | None
     return joined.select("ruta", "anio_mes", state.alias("estado"))
 
 
+class InventoryError(ValueError):
+    """Files on disk that nobody declared."""
+
+
+def sound_discovery(reconciled: DataFrame, shown: int = 20) -> DataFrame:
+    """The reconciled inventory itself; raises InventoryError naming undeclared files within the cutoff, the first so many.
+
+    Files beyond the cutoff and declared ones that are missing stay in the result for the caller to report.
+    """
+    bad = [r["ruta"] for r in reconciled.where("estado = 'sin_declarar'").orderBy("ruta").limit(shown).collect()]
+    if bad:
+        raise InventoryError("not declared: " + ", ".join(bad))
+    return reconciled
+
+
 def file_profiles(rows: DataFrame, file: str, declared_month: str, date_text: str) -> DataFrame:
     """Per file: rows, majority month of its dates, rows dated in another month than declared.
 

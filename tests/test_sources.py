@@ -58,6 +58,10 @@ def test_inventory_and_profiles(spark):
     declared = spark.createDataFrame([("2026/01_enero/a.csv", "2026-01"), ("2026/01_enero/c.csv", "2026-01")], "ruta string, anio_mes string")
     got = {r.ruta[8:]: r.estado for r in files.reconcile_inventory(found, declared, "2026-08").collect()}
     assert sorted(got.values()) == ["declarado", "faltante", "fuera_de_corte", "sin_declarar"]
+    states = spark.createDataFrame([("a", "declarado"), ("b", "faltante"), ("c", "fuera_de_corte")], "ruta string, estado string")
+    assert files.sound_discovery(states).count() == 3
+    with pytest.raises(files.InventoryError, match="not declared: x, y"):
+        files.sound_discovery(states.unionByName(spark.createDataFrame([("y", "sin_declarar"), ("x", "sin_declarar")], states.schema)))
     rows = spark.createDataFrame([("f", "2026-01", d) for d in ("2026-01-05", "2026-01-06", "03/02/26", "x", None)], "f string, m string, d string")
     assert tuple(files.file_profiles(rows, "f", "m", "d").first()) == ("f", 5, "2026-01", 1)
 
