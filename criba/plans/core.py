@@ -133,7 +133,7 @@ select producto_key, strftime(fecha_corte, '%Y-%m-%d') as valido_desde, coalesce
 from marked where fresh"""
 
 _P5_VERSIONS_SQL = (
-    _P5_SQL.replace("fecha_corte, cargado_en, lower(", "fecha_corte, cargado_en, descripcion, url_producto_actual, url_imagen_actual, lower(")
+    _P5_SQL.replace("fecha_corte, cargado_en, trim(lower(", "fecha_corte, cargado_en, descripcion, url_producto_actual, url_imagen_actual, trim(lower(")
     .replace("order by cargado_en desc, d desc, u desc, i desc)", "order by cargado_en desc, d desc, u desc, i desc, descripcion desc, url_producto_actual desc, url_imagen_actual desc)")
     .replace("ignore nulls) over w as i from last", "ignore nulls) over w as i, last_value(descripcion ignore nulls) over w as descripcion, last_value(url_producto_actual ignore nulls) over w as url_producto_actual, last_value(url_imagen_actual ignore nulls) over w as url_imagen_actual from last")
     .replace("select producto_key, strftime(fecha_corte, '%Y-%m-%d') as valido_desde, coalesce(strftime(lead(fecha_corte) over (partition by producto_key order by fecha_corte), '%Y-%m-%d'), '9999-12-31') as valido_hasta",
