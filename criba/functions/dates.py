@@ -5,17 +5,24 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from criba.functions.text import strip
+from criba.functions.text import bind, strip
 
-_DAY_FIRST_SHORT = r"\A(\d{1,2})/(\d{1,2})/(\d{2})(?:\s+(\d{1,2}):(\d{1,2}))?\z"
-_DAY_FIRST_LONG = r"\A(\d{1,2})/(\d{1,2})/(\d{4})\s+(\d{1,2}):(\d{1,2})\z"
-_ISO = r"\A(\d{4})-(\d{1,2})-(\d{1,2})(?:\s+(\d{1,2}):(\d{1,2}):(\d{1,2}))?\z"
+#: Day first, with two digits of the year and maybe a time, or four and a time; or year first, maybe with a time.
+_DAY_FIRST = r"\A(\d{1,2})/(\d{1,2})/(?:(\d{2})|(\d{4})(?=\s+\d))(?:\s+(\d{1,2}:\d{1,2}))?\z"
+_ISO = r"\A(\d{4}-\d{1,2}-\d{1,2})(?:\s+(\d{1,2}:\d{1,2}:\d{1,2}))?\z"
 
 
-def _stamp(year: Column, month: Column, day: Column, hour: Column, minute: Column, second: Column) -> Column:
-    two = lambda c: F.lpad(F.when(c == "", "0").otherwise(c), 2, "0")
-    text = F.concat(year, F.lit("-"), two(month), F.lit("-"), two(day), F.lit(" "), two(hour), F.lit(":"), two(minute), F.lit(":"), two(second))
-    return F.when(year > "0000", text.try_cast("timestamp"))
+def _as_stamp(text: Column) -> Column:
+    """A date text as year, month, day and time in this order, year of four digits; null for any other form."""
+    # Of a two-digit year the century is missing yet, which the first sign of the rest tells.
+    turned = F.regexp_replace(text, _DAY_FIRST, "$4~$3-$2-$1 $5")
+    century = F.when(F.substring(turned, 2, 2) < "69", "20").otherwise("19")
+    return (
+        F.when(text.contains("~"), None)
+        .when(turned.startswith("~"), F.concat(century, F.substring(turned, F.lit(2), F.length(turned))))
+        .when(F.substring(turned, 5, 1) == "~", F.translate(turned, "~", ""))
+        .when(text.rlike(_ISO), F.regexp_replace(text, r"\s+", " "))
+    )
 
 
 def parse_date(c: Column | str) -> Column:
@@ -23,18 +30,10 @@ def parse_date(c: Column | str) -> Column:
 
     Read are ``d/m/yy [H:M]``, ``d/m/yyyy H:M`` and ``yyyy-m-d [H:M:S]``; the day
     stands first, two-digit years below 69 are of this century, and a date that
-    the calendar lacks is null.
+    the calendar lacks is null, as is the year 0.
     """
-    text = strip(c)
-    part = lambda pattern, n: F.regexp_extract(text, pattern, n)
-    short_year = part(_DAY_FIRST_SHORT, 3)
-    century = F.when(short_year < "69", F.lit("20")).otherwise(F.lit("19"))
-    none = F.lit("")
-    return (
-        F.when(text.rlike(_DAY_FIRST_SHORT), _stamp(F.concat(century, short_year), part(_DAY_FIRST_SHORT, 2), part(_DAY_FIRST_SHORT, 1), part(_DAY_FIRST_SHORT, 4), part(_DAY_FIRST_SHORT, 5), none))
-        .when(text.rlike(_DAY_FIRST_LONG), _stamp(part(_DAY_FIRST_LONG, 3), part(_DAY_FIRST_LONG, 2), part(_DAY_FIRST_LONG, 1), part(_DAY_FIRST_LONG, 4), part(_DAY_FIRST_LONG, 5), none))
-        .when(text.rlike(_ISO), _stamp(part(_ISO, 1), part(_ISO, 2), part(_ISO, 3), part(_ISO, 4), part(_ISO, 5), part(_ISO, 6)))
-    )
+    stamp = lambda text: F.when(F.substring(text, 1, 4) > "0000", F.trim(text).try_cast("timestamp"))
+    return bind(strip(c), lambda text: bind(_as_stamp(text), stamp))
 
 
 def value_kind(c: Column | str) -> Column:
