@@ -285,11 +285,11 @@ def _abbreviates(short: Column, long: Column, letters: int) -> Column:
 def text_forms(texts: DataFrame, words: DataFrame, evidence: DataFrame, rules: ListingRules = ListingRules()) -> DataFrame:
     """``clave, forma`` of the texts that name a form.
 
-    Of several forms the one whose words weigh most counts, then the first code. A text without a word
+    Of several words of forms the weightiest counts, then the first code. A text without a word
     of any form takes that of a word that abbreviates one, or that one abbreviates,
     unless brands of one form (``evidence``) that show the word speak against it.
     """
-    choose = lambda rows: rows.groupBy("clave", "forma").agg(F.sum("peso").alias("peso")).groupBy("clave").agg(F.min_by("forma", F.struct(-F.col("peso"), "forma")).alias("forma"))
+    choose = lambda rows: rows.groupBy("clave").agg(F.min_by("forma", F.struct(-F.col("peso"), "forma")).alias("forma"))
     said = texts.select("clave", F.explode("palabras").alias("palabra"))
     direct = cut_lineage(choose(said.join(words, "palabra")))
     rest = texts.join(direct, "clave", "left_anti").select("clave", F.explode("palabras").alias("palabra")).where(F.length("palabra") >= rules.letters)
@@ -417,7 +417,8 @@ def products(listings: DataFrame, catalogue: DataFrame, rules: ListingRules = Li
     alone = hits.join(phrases.where(F.size("formas") == 1), "frase").groupBy("clave").agg(F.min("frase").alias("marca"), F.max("frase").alias("otra"), F.min(F.col("formas")[0]).alias("forma")).where("marca = otra").drop("otra")
     evidence = adverts.select("clave", "palabras").join(alone, "clave").select("marca", "forma", F.filter("palabras", lambda w: ~F.array_contains(F.split("marca", " "), w)).alias("palabras"))
     words = cut_lineage(form_words(entries, evidence, rules))
-    told = text_forms(every, words, evidence, rules)
+    # The catalogue's own codes are trusted.
+    told = text_forms(every.where("forma is null"), words, evidence, rules)
     kinds = entries.where("forma is not null").groupBy("forma", "clase").count().groupBy("forma").agg(F.max_by("clase", F.struct("count", "clase")).alias("clase_forma"))
     formed = every.withColumnRenamed("forma", "propia").join(told, "clave", "left").withColumn("forma", F.coalesce("propia", "forma"))
     whole = cut_lineage(described(formed, kinds))
