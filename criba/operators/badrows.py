@@ -39,10 +39,7 @@ def checked_rows(files: DataFrame, loaded: DataFrame, lines: DataFrame, stores:
             _reasons((price_unreadable("precio_actual"), "precio_actual"), (date_bad("fecha_captura"), "fecha_captura"))
         ),
     )
-    layouts = capture.file_layouts(lines, files)
-    raw = capture.raw_records(lines, layouts)
-    waiting = layouts.join(lines.select("_archivo_origen").distinct(), "_archivo_origen", "left_semi")
-    laid = capture.canonical_cells(raw, capture.column_roles(raw, waiting, files, stores))
+    laid = capture.canonical_cells(lines, capture.column_roles(lines, capture.file_layouts(lines, files), stores))
     of_lines = laid.withColumn(
         "errores",
         F.when(F.forall("celdas", lambda c: is_blank(c)), F.array(F.lit("fila_vacia")))

@@ -44,30 +44,25 @@ def file_schemas(files: DataFrame, loaded: DataFrame, lines: DataFrame, stores:
     One row a file: ``ruta, serie, anio_mes, columnas`` (array of nombre and rol in
     order) and ``tipos`` (kinds of most values by canonical column). Headers are
     parsed in the plan, in parallel; kinds come from one aggregation over the rows
-    of loaded files and one over the lines of those not loaded yet.
+    of loaded files and one over the lines of those not loaded yet, which also counts
+    what tells the columns of unknown names. The plan is kept short: the driver
+    holds, optimizes and compiles all of it, whatever the input's size.
     """
-    layouts = capture.file_layouts(lines, files)
-    # A file with captured lines is not loaded; its columns tell what they hold.
-    waiting = lines.select("_archivo_origen").distinct()
-    fresh, done = layouts.join(waiting, "_archivo_origen", "left_semi"), layouts.join(waiting, "_archivo_origen", "left_anti")
-    raw = capture.raw_records(lines, fresh)
-    roles = capture.column_roles(raw, fresh, files, stores)
-    kinds = capture.kind_counts(
-        capture.loaded_cells(loaded)
-        .select("_archivo_origen", *TYPED)
-        .unionByName(capture.canonical_cells(raw, roles).select("_archivo_origen", *TYPED))
-    )
-    columns = (
-        roles.unionByName(capture.loaded_roles(done))
-        .groupBy(F.col("_archivo_origen").alias("ruta"))
-        .agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "nombre", "rol"))), lambda c: F.struct(c["nombre"].alias("nombre"), c["rol"].alias("rol"))).alias("columnas"))
-    )
-    declared = files.dropDuplicates(["ruta"]).select("ruta", "serie", "anio_mes")
+    roles = capture.column_roles(lines, capture.file_layouts(lines, files), stores, TYPED)
+    held = capture.kind_counts(capture.loaded_cells(loaded), TYPED)
+    columns = F.when(F.col("dicho").isNotNull(), F.transform("nombres", lambda n, i: F.struct(n.alias("nombre"), F.get("roles", i).alias("rol"))))
     none = F.array().cast("array<struct<nombre:string,rol:string>>")
+    of_lines = lambda c: F.get(F.filter("perfiles", lambda p: p["pos"] == capture.position_of(c)), F.lit(0))["valores"]
     return (
-        declared.join(columns, "ruta", "left")
-        .join(kinds.withColumnRenamed("_archivo_origen", "ruta"), "ruta", "full")
-        .select("ruta", "serie", "anio_mes", F.coalesce("columnas", none).alias("columnas"), F.struct(*[F.col(f"tipo_{c}").alias(c) for c in TYPED]).alias("tipos"))
+        roles.join(held.withColumn("cargado", F.lit(True)), "_archivo_origen", "full")
+        .where("dicho is not null or con_filas or cargado")
+        .select(
+            F.col("_archivo_origen").alias("ruta"),
+            "dicho.serie",
+            "dicho.anio_mes",
+            F.coalesce(columns, none).alias("columnas"),
+            F.struct(*[capture.most_frequent(F.col(f"valores_{c}"), of_lines(c)).alias(c) for c in TYPED]).alias("tipos"),
+        )
     )
 
 
@@ -155,11 +150,9 @@ def consistent_rows(files: DataFrame, loaded: DataFrame, lines: DataFrame, store
     """
     if schema is None:
         schema = {r["columna"]: r["tipo"] for r in union_schema(file_schemas(files, loaded, lines, stores)).collect()}
-    layouts = capture.file_layouts(lines, files)
-    raw = capture.raw_records(lines, layouts)
-    roles = capture.column_roles(raw, layouts.join(lines.select("_archivo_origen").distinct(), "_archivo_origen", "left_semi"), files, stores)
+    roles = capture.column_roles(lines, capture.file_layouts(lines, files), stores)
     columns = ["_archivo_origen", "_fila_num", *capture.CANONICAL]
-    every = capture.loaded_cells(loaded).select(columns).unionByName(capture.canonical_cells(raw, roles).select(columns))
+    every = capture.loaded_cells(loaded).select(columns).unionByName(capture.canonical_cells(lines, roles).select(columns))
     cast = {c: _READ[schema.get(c) or "vacio"](c) for c in TYPED}
     return every.select(
         "_archivo_origen",

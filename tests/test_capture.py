@@ -153,6 +153,41 @@ def test_kind_of_most_values(spark, tables):
     assert _changes(tables, V1, V1, dated, nothing) == set()
 
 
+def test_kinds_of_a_file_that_is_loaded_in_part(spark, tables):
+    """Values of loaded rows and of captured lines count together; rows of a file that is not declared are kept, its header alone is not."""
+    files = [(f, "s", "botica", m, False, None, V1, "x") for f, m in (("a", "2025-01"), ("b", "2025-02"))]
+    held = lambda f, n, price: (f, n, "1", "u", "p", price, "", "i", "2025-01-01", "Botica", "x")
+    lines = [("a", 1, GOOD, 1), ("b", 1, GOOD, 1), ("z", 0, V1, 1), ("y", 1, GOOD, 1)]
+    t = tables(files=files, loaded=[held("b", 2, "$1"), held("b", 3, "$2"), held("x", 1, "$1")], lines=lines)
+    schemas = drift.file_schemas(*t)
+    assert {(r.ruta, r.tipos.precio_actual, len(r.columnas)) for r in schemas.collect()} == {("a", "numero", 8), ("b", "texto", 8), ("x", "texto", 0), ("y", None, 0)}
+    assert [(r.ruta, r.cambio, r.columna, r.antes) for r in drift.changes(schemas).collect()] == [("b", "tipo", "precio_actual", "numero")]
+
+
+def test_two_price_columns_of_unknown_names(spark, tables):
+    """The one filled more often, then the dearer one, is the regular price; a second column of another kind stays untold."""
+    second = V1.replace("Precio_Actual", "Rebaja").replace("Precio_Oferta", "Importe").replace("URL_IMAGEN", "Foto") + ",Foto2"
+    rows = [GOOD.replace("10.50,,", "10.50,12.50,") + ",https://i.example/2.jpg" for _ in range(3)]
+    found = lambda rows: {x for x in _changes(tables, V1, second, [GOOD], rows) if x[1] != "tipo"}
+    assert found(rows) == {("b", "renombrada", "rebaja"), ("b", "renombrada", "importe"), ("b", "renombrada", "foto"), ("b", "agregada", "foto2")}
+    files = [("f", "s", "botica", "2025-01", False, None, second, "x")]
+    read = lambda rows: {(r.precio_actual_raw, r.precio_oferta_raw) for r in drift.consistent_rows(*tables(files=files, lines=[("f", n, r, 1) for n, r in enumerate([second, *rows])])).collect()}
+    assert read(rows) == {("12.50", "10.50")}
+    assert ("10.50", "") in read([*rows[:2], rows[2].replace("12.50", "")])
+
+
+def test_a_file_declared_twice_counts_once(spark, tables):
+    files = [("a", "s", "botica", "2025-01", False, None, V1, "x"), *[("b", "s", "botica", "2025-02", False, None, V1.replace("SKU", "Clave"), "x")] * 2]
+    assert sorted((r.ruta, r.cambio, r.columna) for r in drift.changes(drift.file_schemas(*tables(files=files))).collect()) == [("b", "renombrada", "clave")]
+
+
+def test_plan_of_changes_is_short(spark, tables):
+    """The driver plans, compiles and reports all of it at each step, so its memory follows the number of exchanges, not the input."""
+    plan = drift.changes(drift.file_schemas(*tables()))._jdf.queryExecution().executedPlan().toString()
+    assert 0 < plan.count("Exchange ") <= 10
+    assert plan.count("Join ") <= 5
+
+
 def test_lattice(spark):
     assert drift.promote("numero", "texto") == "texto"
     assert drift.promote("fecha", "fecha_hora") == "fecha_hora"
